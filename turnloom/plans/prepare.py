@@ -26,12 +26,12 @@ def drop_empty_conversations(df: DataFrame) -> DataFrame:
     return df.filter(F.size("messages") > 0)
 
 
-def _canonical_rows(df: DataFrame, opts: PrepOptions, keep: tuple[str, ...]) -> DataFrame:
+def canonical_rows(df: DataFrame, opts: PrepOptions, keep: tuple[str, ...]) -> DataFrame:
     rows = canonical.canonicalize(canonical.with_loss_role(df, opts), opts, keep)
     return drop_empty_conversations(rows)
 
 
-def _turn_rows(turns: DataFrame, opts: PrepOptions, **columns) -> DataFrame:
+def turn_rows(turns: DataFrame, opts: PrepOptions, **columns) -> DataFrame:
     """Canonical array rows of a turn table, with loss roles checked on the whole conversation."""
     rows = fitting_conversations(turns, opts, **columns)
     if opts.drop_if_no_assistant:
@@ -65,14 +65,14 @@ def prepare_samples(
     df: DataFrame, opts: PrepOptions = PrepOptions(), keep: tuple[str, ...] = ("conv_id",)
 ) -> DataFrame:
     """Training samples of a conversation table: one narrow stage, batch or stream."""
-    return project_samples(_samples(_canonical_rows(df, opts, keep), opts), keep)
+    return project_samples(_samples(canonical_rows(df, opts, keep), opts), keep)
 
 
 def prepare_turn_samples(
     turns: DataFrame, opts: PrepOptions = PrepOptions(), key: str = "conv_id", **columns
 ) -> DataFrame:
     """Training samples of a turn table: one shuffle by conversation, then narrow."""
-    rows = _turn_rows(turns, opts, key=key, **columns)
+    rows = turn_rows(turns, opts, key=key, **columns)
     return project_samples(_samples(rows, opts), (key,))
 
 
@@ -85,14 +85,14 @@ def prepare_lengths(
     df: DataFrame, opts: PrepOptions = PrepOptions(), keep: tuple[str, ...] = ("conv_id",)
 ) -> DataFrame:
     """Raw, structured and final token counts and the stage, without building samples."""
-    return _lengths(_canonical_rows(df, opts, keep), opts, keep)
+    return _lengths(canonical_rows(df, opts, keep), opts, keep)
 
 
 def prepare_turn_lengths(
     turns: DataFrame, opts: PrepOptions = PrepOptions(), key: str = "conv_id", **columns
 ) -> DataFrame:
     """Like :func:`prepare_lengths` for a turn table."""
-    return _lengths(_turn_rows(turns, opts, key=key, **columns), opts, (key,))
+    return _lengths(turn_rows(turns, opts, key=key, **columns), opts, (key,))
 
 
 def debug_samples(

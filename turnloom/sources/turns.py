@@ -143,7 +143,7 @@ def token_offsets(
     )
 
 
-def conversation_totals(turns: DataFrame, opts: PrepOptions, key: str = "conv_id") -> DataFrame:
+def conversation_totals(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """Parse report and token total per conversation of canonical turns, as sums.
 
     Dropped think turns count in ``dropped_think`` only.
