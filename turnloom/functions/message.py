@@ -1,12 +1,14 @@
-"""Rules for one chat message, written on a struct column.
+"""Rules for one chat message.
 
-Each function maps a message struct to a message struct (or a value), so the
-same rule serves message arrays (inside ``transform``) and turn tables (as a
-plain column).
+A message is anything that gives a column per field name: a struct column
+inside ``transform``, or a dict of plain columns of a turn table. Rules return
+the fields they change, so arrays and turn tables share them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F, types as T
 
 from ..options import PrepOptions
@@ -16,6 +18,9 @@ from .tokens import IM_END, IM_START, THINK_CLOSE, THINK_OPEN, cap_tokens
 # Roles the chat template understands.
 KNOWN_ROLES = ("system", "user", "assistant", "tool")
 
+Message = Column | Mapping[str, Column]
+Fields = dict[str, Column]
+
 MESSAGE_TYPE = T.StructType(
     [
         T.StructField("pos", T.LongType()),
@@ -30,8 +35,8 @@ MESSAGE_TYPE = T.StructType(
 )
 
 
-def from_source(m: Column, source: T.StructType, pos: Column, opts: PrepOptions) -> Column:
-    """Canonical message: trimmed role, text content, settled reasoning field.
+def from_source(m: Message, source: T.StructType, pos: Column, opts: PrepOptions) -> Fields:
+    """Canonical fields: trimmed role, text content, settled reasoning.
 
     A blank reasoning field takes the first non-blank alternative (trimmed),
     whatever the role; ``moved`` counts that.
@@ -45,16 +50,27 @@ def from_source(m: Column, source: T.StructType, pos: Column, opts: PrepOptions)
     others = [F.nullif(strip(text(k)), F.lit("")) for k in opts.reasoning_sources if k in types]
     fallback = F.coalesce(*others) if others else F.lit(None).cast("string")
     moves = is_blank(target) & fallback.isNotNull()
-    return F.struct(
-        pos.cast("long").alias("pos"),
-        strip(to_text(text("role"))).alias("role"),
-        to_text(text("content")).alias("content"),
-        F.when(moves, fallback).otherwise(target).alias("reasoning_content"),
-        text("tool_calls").alias("tool_calls"),
-        text("name").alias("name"),
-        moves.cast("int").alias("moved"),
-        F.lit(0).alias("extracted"),
-    )
+    return {
+        "pos": pos.cast("long"),
+        "role": strip(to_text(text("role"))),
+        "content": to_text(text("content")),
+        "reasoning_content": F.when(moves, fallback).otherwise(target),
+        "tool_calls": text("tool_calls"),
+        "name": text("name"),
+        "moved": moves.cast("int"),
+        "extracted": F.lit(0),
+    }
+
+
+def as_struct(fields: Mapping[str, Column]) -> Column:
+    return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+
+def with_fields(m: Column, fields: Fields) -> Column:
+    """Message struct with some fields replaced or added."""
+    for name, value in fields.items():
+        m = m.withField(name, value)
+    return m
 
 
 def plain_message(role: str, content: Column) -> Column:
@@ -62,77 +78,73 @@ def plain_message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def is_blank_system(m: Column) -> Column:
+def is_blank_system(m: Message) -> Column:
     """System messages without content are dropped wherever they stand."""
     return (m["role"] == "system") & is_blank(m["content"])
 
 
-def mark_think_block(m: Column) -> Column:
-    """Add ``open`` and ``close``: where the first closed think block starts and ends (0: none)."""
+def think_block(m: Message) -> Fields:
+    """``open`` and ``close``: where the first closed think block starts and ends (0: none)."""
     start = F.locate(THINK_OPEN, m["content"])
     end = F.position(F.lit(THINK_CLOSE), m["content"], start + len(THINK_OPEN))
     found = (m["role"] == "assistant") & (start > 0) & (end > 0)
-    return m.withField("open", F.when(found, start).otherwise(0)).withField(
-        "close", F.when(found, end).otherwise(0)
-    )
+    return {
+        "open": F.when(found, start).otherwise(0),
+        "close": F.when(found, end).otherwise(0),
+    }
 
 
-def cut_think_block(m: Column) -> Column:
-    """Move the marked block out of the content.
+def cut_think_block(m: Message) -> Fields:
+    """Move the located block out of the content.
 
     Its text fills the reasoning field only if that is blank; the block is cut
     and counted either way.
     """
-    content, found = m["content"], m["close"] > 0
+    content, reasoning, found = m["content"], m["reasoning_content"], m["close"] > 0
     inner_at = m["open"] + len(THINK_OPEN)
     inner = strip(F.substr(content, inner_at, m["close"] - inner_at))
     before = F.substr(content, F.lit(1), m["open"] - 1)
     after = lstrip(F.substr(content, m["close"] + len(THINK_CLOSE)))
-    return (
-        m.withField("content", F.when(found, lstrip(F.concat(before, after))).otherwise(content))
-        .withField(
-            "reasoning_content",
-            F.when(found & is_blank(m["reasoning_content"]), inner).otherwise(
-                m["reasoning_content"]
-            ),
-        )
-        .withField("extracted", found.cast("int"))
-        .dropFields("open", "close")
-    )
+    return {
+        "content": F.when(found, lstrip(F.concat(before, after))).otherwise(content),
+        "reasoning_content": F.when(found & is_blank(reasoning), inner).otherwise(reasoning),
+        "extracted": found.cast("int"),
+    }
 
 
-def is_dropped_think(m: Column, opts: PrepOptions) -> Column:
+def is_dropped_think(m: Message, opts: PrepOptions) -> Column:
     """Think-role messages go away in drop mode."""
     return (m["role"] == opts.think_role) if opts.drops_thinking else F.lit(False)
 
 
-def think_policy(m: Column, opts: PrepOptions) -> Column:
+def think_policy(m: Message, opts: PrepOptions) -> Fields:
     """Clear present reasoning in drop mode, cap it (and think turns) otherwise."""
-    reasoning = m["reasoning_content"]
+    content, reasoning = m["content"], m["reasoning_content"]
     if opts.drops_thinking:
-        return m.withField("reasoning_content", F.when(reasoning.isNotNull(), F.lit("")))
+        return {"reasoning_content": F.when(reasoning.isNotNull(), F.lit(""))}
     if not opts.token_cap:
-        return m
-    capped = cap_tokens(m["content"], opts.token_cap)
-    return m.withField(
-        "content", F.when(m["role"] == opts.think_role, capped).otherwise(m["content"])
-    ).withField("reasoning_content", cap_tokens(reasoning, opts.token_cap))
+        return {}
+    is_think = m["role"] == opts.think_role
+    return {
+        "content": F.when(is_think, cap_tokens(content, opts.token_cap)).otherwise(content),
+        "reasoning_content": cap_tokens(reasoning, opts.token_cap),
+    }
 
 
 def is_unknown_role(role: Column, opts: PrepOptions) -> Column:
     return (role != "") & ~role.isin(*KNOWN_ROLES, opts.think_role)
 
 
-def has_reasoning(m: Column) -> Column:
+def has_reasoning(m: Message) -> Column:
     """Assistant message whose reasoning can be shortened."""
     return (m["role"] == "assistant") & ~is_blank(m["reasoning_content"])
 
 
-def _opening(m: Column) -> Column:
+def _opening(m: Message) -> Column:
     return F.concat(F.lit(IM_START), m["role"], F.lit("\n"))
 
 
-def _body(m: Column, reasoning: Column) -> Column:
+def _body(m: Message, reasoning: Column) -> Column:
     shows = (m["role"] == "assistant") & (F.coalesce(reasoning, F.lit("")) != "")
     thought = F.concat(F.lit(THINK_OPEN + "\n"), reasoning, F.lit(f"\n{THINK_CLOSE}\n\n"))
     calls = F.concat(F.lit("\n<tool_call>\n"), m["tool_calls"], F.lit("\n</tool_call>"))
@@ -143,7 +155,7 @@ def _body(m: Column, reasoning: Column) -> Column:
     )
 
 
-def render(m: Column, reasoning: Column | None = None) -> Column:
+def render(m: Message, reasoning: Column | None = None) -> Column:
     """ChatML text of one message; ``reasoning`` replaces the message's own."""
     shown = m["reasoning_content"] if reasoning is None else reasoning
     return F.concat(_opening(m), _body(m, shown), F.lit(IM_END + "\n"))
@@ -158,7 +170,7 @@ def tools_block(tools: Column) -> Column:
     return F.concat(F.lit(IM_START + "system\n"), tools_text(tools), F.lit(IM_END + "\n"))
 
 
-def render_first(m: Column, tools: Column) -> Column:
+def render_first(m: Message, tools: Column) -> Column:
     """Like :func:`render` for the first message, with tool schemas.
 
     They close an opening system message, or stand in a system block of their

@@ -6,6 +6,8 @@ workers, batch and stream alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import message as msg
@@ -67,7 +69,7 @@ def pairs_to_messages(df: DataFrame) -> Column:
 def _pair_messages(df: DataFrame, opts: PrepOptions) -> Column:
     pair = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
     return F.transform(
-        pairs_to_messages(df), lambda m, i: msg.from_source(m, pair, i, opts)
+        pairs_to_messages(df), lambda m, i: msg.as_struct(msg.from_source(m, pair, i, opts))
     )
 
 
@@ -77,7 +79,9 @@ def _list_messages(df: DataFrame, opts: PrepOptions) -> Column:
         return F.lit(None).cast(_NO_MESSAGES)
     items = F.transform(
         F.col(opts.messages_field),
-        lambda m, i: F.when(m.isNotNull(), msg.from_source(m, element, i, opts)),
+        lambda m, i: F.when(
+            m.isNotNull(), msg.as_struct(msg.from_source(m, element, i, opts))
+        ),
     )
     return F.filter(items, lambda m: m.isNotNull() & ~msg.is_blank_system(m))
 
@@ -95,13 +99,19 @@ def clean_messages(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataFram
     return df.withColumn("messages", F.coalesce(messages, empty))
 
 
-def each_message(df: DataFrame, rule) -> DataFrame:
-    return df.withColumn("messages", F.transform("messages", rule))
+def each_message(df: DataFrame, rule: Callable[[Column], msg.Fields]) -> DataFrame:
+    """Apply a message rule to every element of ``messages``."""
+    return df.withColumn(
+        "messages", F.transform("messages", lambda m: msg.with_fields(m, rule(m)))
+    )
 
 
 def extract_think(df: DataFrame) -> DataFrame:
     """Move the first closed think block of each assistant message into its reasoning."""
-    return each_message(each_message(df, msg.mark_think_block), msg.cut_think_block)
+    df = each_message(each_message(df, msg.think_block), msg.cut_think_block)
+    return df.withColumn(
+        "messages", F.transform("messages", lambda m: m.dropFields("open", "close"))
+    )
 
 
 def apply_think_policy(df: DataFrame, opts: PrepOptions) -> DataFrame:
@@ -134,7 +144,7 @@ def parse_report(df: DataFrame, opts: PrepOptions) -> DataFrame:
         "report",
         F.struct(
             _count("extracted").alias("extracted_think"),
-            (_count("moved")).alias("moved_reasoning"),
+            _count("moved").alias("moved_reasoning"),
             F.col("dropped_think"),
             F.col("tools").isNotNull().alias("tools_present"),
             F.col("tools_from_string"),
@@ -143,36 +153,33 @@ def parse_report(df: DataFrame, opts: PrepOptions) -> DataFrame:
     )
 
 
-def with_loss_role(df: DataFrame, opts: PrepOptions) -> DataFrame:
-    """Rows that will keep a message of a loss-bearing role, judged before any work.
+def usable_rows(df: DataFrame, opts: PrepOptions) -> DataFrame:
+    """Source rows that will keep a message, of a loss-bearing role if one is demanded.
 
-    Equal to :func:`drop_without_assistant` after canonicalisation, but reads
-    only roles (and blank system contents), so the costly columns are computed
-    for surviving rows only and never twice.
+    Gives the rows that :func:`drop_without_assistant` and dropping empty
+    conversations would leave after canonicalisation. But it reads only roles
+    (and blank system contents), so the costly columns are computed for
+    surviving rows only and never twice.
     """
-    if not opts.drop_if_no_assistant:
-        return df
-    roles = opts.loss_roles
+    roles = set(opts.loss_roles)
 
-    def survives(m: Column) -> Column:
-        return (
-            m["role"].isin(roles) & ~msg.is_blank_system(m) & ~msg.is_dropped_think(m, opts)
-        )
+    def survives(m: msg.Message) -> Column:
+        kept = ~msg.is_blank_system(m) & ~msg.is_dropped_think(m, opts)
+        return kept & m["role"].isin(*roles) if opts.drop_if_no_assistant else kept
 
     element = _message_type(df, opts.messages_field)
-    in_pairs = F.lit(bool({"user", "assistant"} & set(roles)))
-    if opts.drops_thinking:
-        in_pairs = F.lit(bool({"user", "assistant"} & set(roles) - {opts.think_role}))
     in_list = F.lit(False)
     if element is not None:
         in_list = F.exists(
             opts.messages_field,
             lambda m: m.isNotNull() & survives(msg.from_source(m, element, F.lit(0), opts)),
         )
+    pair = {"user", "assistant"} - ({opts.think_role} if opts.drops_thinking else set())
+    in_pair = bool(pair & roles if opts.drop_if_no_assistant else pair)
     schema = schema_column(df, opts)
     return df.filter(
         F.when(schema == "messages", F.coalesce(in_list, F.lit(False)))
-        .when(schema == "prompt_response", in_pairs)
+        .when(schema == "prompt_response", in_pair)
         .otherwise(False)
     )
 

@@ -21,14 +21,9 @@ def drop_empty_samples(df: DataFrame) -> DataFrame:
     return df.filter(F.size("input_ids") > 0)
 
 
-def drop_empty_conversations(df: DataFrame) -> DataFrame:
-    """Equal to dropping empty samples, but before any token work: every message has tokens."""
-    return df.filter(F.size("messages") > 0)
-
-
 def canonical_rows(df: DataFrame, opts: PrepOptions, keep: tuple[str, ...]) -> DataFrame:
-    rows = canonical.canonicalize(canonical.with_loss_role(df, opts), opts, keep)
-    return drop_empty_conversations(rows)
+    """Canonical rows that will give a sample."""
+    return canonical.canonicalize(canonical.usable_rows(df, opts), opts, keep)
 
 
 def turn_rows(turns: DataFrame, opts: PrepOptions, **columns) -> DataFrame:

@@ -82,9 +82,7 @@ def _turns(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
 
 
 def _message_rows(turns: DataFrame, *fields: str) -> DataFrame:
-    return turns.select(
-        "conv_id", F.col("m.pos").alias("turn"), *[F.col(f"m.{f}").alias(f) for f in fields]
-    )
+    return turns.select("conv_id", F.col("pos").alias("turn"), *fields)
 
 
 def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,12 +165,8 @@ def unknown_role_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rendered_turns(turns: DataFrame) -> DataFrame:
-    return turns.select(
-        "conv_id",
-        F.col("m.pos").alias("turn"),
-        F.col("m.role").alias("role"),
-        msg.render(F.col("m")).alias("rendered"),
-    )
+    text = msg.render(turn_ops.MESSAGE)
+    return turns.select("conv_id", F.col("pos").alias("turn"), "role", text.alias("rendered"))
 
 
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,13 +270,12 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loss(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         opts = PrepOptions(think_loss=mode)
-        rows = _turns(spark, sf_dir).withColumn(
-            "m", F.col("m").withField("tokens", tok.tokens(msg.render(F.col("m"))))
-        )
-        marked = rows.withColumn("m", masking.mark_spans(F.col("m"), opts))
+        rows = _rendered_turns(_turns(spark, sf_dir))
+        rows = rows.withColumn("tokens", tok.tokens(F.col("rendered")))
+        marked = rows.withColumn("m", masking.mark_spans(F.struct("role", "tokens"), opts))
         return marked.select(
             "conv_id",
-            F.col("m.pos").alias("turn"),
+            "turn",
             F.posexplode(masking.marked_tokens(F.col("m"), opts)).alias("place", "t"),
         ).select("conv_id", "turn", _long("place").alias("place"), "t.token", "t.in_loss")
 

@@ -32,6 +32,13 @@ BROADCAST_KEYS = 100_000
 
 HAS_LOSS_ROLE = "has_loss_role"
 
+# The message fields of a turn table as columns, and those kept in array rows.
+MESSAGE = {
+    name: F.col(name)
+    for name in (*msg.MESSAGE_TYPE.fieldNames(), "open", "close")
+}
+ROW_FIELDS = ("pos", "role", "content", "reasoning_content", "tool_calls", "name")
+
 
 def assemble_conversations(
     turns: DataFrame,
@@ -64,28 +71,28 @@ def canonical_turns(
     order: str = "turn",
     text: str = "text",
 ) -> DataFrame:
-    """Canonical messages at turn grain: ``key, tools_source, m, is_dropped``. Narrow.
+    """Canonical messages at turn grain: ``key``, ``tools``, message fields, ``is_dropped``.
 
-    Blank system turns are gone. Think turns to be dropped are still there,
-    flagged, because reports count them.
+    Narrow, with one flat column per field. Blank system turns are gone. Think
+    turns to be dropped are still there, flagged, because reports count them.
     """
     renamed = turns if text == "content" else turns.withColumnRenamed(text, "content")
     tools = resolve_tools_column(renamed)
     source = T.StructType([f for f in renamed.schema if f.name not in (key, order, tools)])
-    row = F.struct(*[F.col(f.name) for f in source])
+    row = {f.name: F.col(f.name) for f in source}
+    fields = msg.from_source(row, source, F.col(order), opts)
     df = renamed.select(
         key,
         (F.col(tools) if tools else F.lit(None).cast("string")).alias("tools"),
-        row.alias("row"),
-        F.col(order).alias("pos"),
+        *[c.alias(name) for name, c in fields.items()],
     )
-    df = df.withColumn("m", msg.from_source(F.col("row"), source, F.col("pos"), opts))
-    df = df.filter(~msg.is_blank_system(F.col("m"))).drop("row", "pos")
+    df = df.filter(~msg.is_blank_system(MESSAGE))
     if opts.extract_think_tags:
-        df = df.withColumn("m", msg.mark_think_block(F.col("m")))
-        df = df.withColumn("m", msg.cut_think_block(F.col("m")))
-    df = df.withColumn("is_dropped", msg.is_dropped_think(F.col("m"), opts))
-    return df.withColumn("m", msg.think_policy(F.col("m"), opts))
+        df = df.withColumns(msg.think_block(MESSAGE))
+        df = df.withColumns(msg.cut_think_block(MESSAGE)).drop("open", "close")
+    df = df.withColumn("is_dropped", msg.is_dropped_think(MESSAGE, opts))
+    policy = msg.think_policy(MESSAGE, opts)
+    return df.withColumns(policy) if policy else df
 
 
 def running_total(
@@ -148,24 +155,23 @@ def conversation_totals(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 
     Dropped think turns count in ``dropped_think`` only.
     """
-    m, kept = F.col("m"), ~F.col("is_dropped")
+    kept = ~F.col("is_dropped")
     return turns.groupBy(key).agg(
-        F.sum(m["extracted"]).alias("extracted_think"),
-        F.sum(m["moved"]).alias("moved_reasoning"),
+        F.sum("extracted").alias("extracted_think"),
+        F.sum("moved").alias("moved_reasoning"),
         F.count_if(~kept).alias("dropped_think"),
-        F.min_by("tools", m["pos"]).alias("tools"),
+        F.min_by("tools", "pos").alias("tools"),
         F.count_if(kept).alias("n_messages"),
-        F.sum(F.when(kept, token_count(msg.render(m)))).alias("total_tokens"),
+        F.sum(F.when(kept, token_count(msg.render(MESSAGE)))).alias("total_tokens"),
     )
 
 
 def unknown_role_turns(turns: DataFrame, opts: PrepOptions, key: str = "conv_id") -> DataFrame:
     """Unknown roles per conversation with the place where each is first seen."""
-    role = F.col("m")["role"]
     return (
-        turns.filter(~F.col("is_dropped") & msg.is_unknown_role(role, opts))
-        .groupBy(key, role.alias("role"))
-        .agg(F.min(F.col("m")["pos"]).alias("first_seen"))
+        turns.filter(~F.col("is_dropped") & msg.is_unknown_role(F.col("role"), opts))
+        .groupBy(key, "role")
+        .agg(F.min("pos").alias("first_seen"))
     )
 
 
@@ -179,16 +185,17 @@ def _join_conversations(
     """
     if few:
         return turns.join(F.broadcast(small), key, how)
-    salted = turns.withColumn("_salt", F.pmod(F.hash("m.pos"), F.lit(SALTS)))
+    salted = turns.withColumn("_salt", F.pmod(F.hash("pos"), F.lit(SALTS)))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return salted.join(small.withColumn("_salt", salts), [key, "_salt"], how).drop("_salt")
 
 
 def _collected(turns: DataFrame, opts: PrepOptions, key: str, *more: Column) -> DataFrame:
+    message = F.struct(*ROW_FIELDS)
     return turns.groupBy(key).agg(
-        F.array_sort(F.collect_list("m")).alias("messages"),
-        F.min_by("tools", F.col("m")["pos"]).alias("tools"),
-        F.max(F.col("m")["role"].isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
+        F.array_sort(F.collect_list(message)).alias("messages"),
+        F.min_by("tools", "pos").alias("tools"),
+        F.max(F.col("role").isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
         *more,
     )
 
@@ -203,7 +210,7 @@ def _may_survive(turns: DataFrame, opts: PrepOptions, key: str) -> DataFrame:
     ``row_number`` limits are applied before the shuffle as well as after it.
     """
     most = opts.limit // MIN_TOKENS_PER_MESSAGE + 3
-    pos = F.col("m.pos")
+    pos = F.col("pos")
     from_end = F.lit(opts.truncate_side == "left") | ~F.col("trails")
     ranked = turns.withColumns(
         {
@@ -228,22 +235,21 @@ def _thinned_conversations(
     turns: DataFrame, opts: PrepOptions, key: str, few: bool
 ) -> DataFrame:
     """Array rows of giant conversations, with the token sums of what was left out."""
-    m = F.col("m")
-    size = token_count(msg.render(m)).cast("long")
+    pos, role = F.col("pos"), F.col("role")
     ends = turns.groupBy(key).agg(
-        F.min(m["pos"]).alias("first_pos"),
-        F.max(F.when(m["role"] == "assistant", m["pos"])).alias("last_pos"),
+        F.min(pos).alias("first_pos"),
+        F.max(F.when(role == "assistant", pos)).alias("last_pos"),
     )
     placed = (
         _join_conversations(turns, ends, key, "inner", few)
-        .withColumn("trails", F.coalesce(m["pos"] > F.col("last_pos"), F.lit(True)))
-        .withColumn("n", size)
+        .withColumn("trails", F.coalesce(pos > F.col("last_pos"), F.lit(True)))
+        .withColumn("n", token_count(msg.render(MESSAGE)).cast("long"))
     )
     tail_tokens = F.sum(F.when(F.col("trails"), F.col("n")).otherwise(0))
     totals = placed.groupBy(key).agg(
         F.sum("n").alias("all_total"),
         tail_tokens.alias("all_tail"),
-        F.max(m["role"].isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
+        F.max(role.isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
     )
     rows = _collected(
         _may_survive(placed, opts, key),
