@@ -140,25 +140,32 @@ def has_reasoning(m: Message) -> Column:
     return (m["role"] == "assistant") & ~is_blank(m["reasoning_content"])
 
 
-def _opening(m: Message) -> Column:
+def opening(m: Message) -> Column:
     return F.concat(F.lit(IM_START), m["role"], F.lit("\n"))
 
 
+def think_text(reasoning: str) -> str:
+    """Think block as it is rendered."""
+    return f"{THINK_OPEN}\n{reasoning}\n{THINK_CLOSE}\n\n"
+
+
+def answer(m: Message) -> Column:
+    """What follows the think block, up to the end marker."""
+    calls = F.concat(F.lit("\n<tool_call>\n"), m["tool_calls"], F.lit("\n</tool_call>"))
+    return F.concat(m["content"], F.coalesce(calls, F.lit("")))
+
+
 def _body(m: Message, reasoning: Column) -> Column:
     shows = (m["role"] == "assistant") & (F.coalesce(reasoning, F.lit("")) != "")
-    thought = F.concat(F.lit(THINK_OPEN + "\n"), reasoning, F.lit(f"\n{THINK_CLOSE}\n\n"))
-    calls = F.concat(F.lit("\n<tool_call>\n"), m["tool_calls"], F.lit("\n</tool_call>"))
-    return F.concat(
-        F.when(shows, thought).otherwise(""),
-        m["content"],
-        F.coalesce(calls, F.lit("")),
-    )
+    before, after = think_text("|").split("|")
+    thought = F.concat(F.lit(before), reasoning, F.lit(after))
+    return F.concat(F.when(shows, thought).otherwise(""), answer(m))
 
 
 def render(m: Message, reasoning: Column | None = None) -> Column:
     """ChatML text of one message; ``reasoning`` replaces the message's own."""
     shown = m["reasoning_content"] if reasoning is None else reasoning
-    return F.concat(_opening(m), _body(m, shown), F.lit(IM_END + "\n"))
+    return F.concat(opening(m), _body(m, shown), F.lit(IM_END + "\n"))
 
 
 def tools_text(tools: Column) -> Column:
@@ -170,21 +177,22 @@ def tools_block(tools: Column) -> Column:
     return F.concat(F.lit(IM_START + "system\n"), tools_text(tools), F.lit(IM_END + "\n"))
 
 
-def render_first(m: Message, tools: Column) -> Column:
+def render_first(m: Message, tools: Column, reasoning: Column | None = None) -> Column:
     """Like :func:`render` for the first message, with tool schemas.
 
     They close an opening system message, or stand in a system block of their
     own before any other first message.
     """
+    shown = m["reasoning_content"] if reasoning is None else reasoning
     in_system = F.concat(
-        _opening(m),
-        _body(m, m["reasoning_content"]),
+        opening(m),
+        _body(m, shown),
         F.lit("\n\n"),
         tools_text(tools),
         F.lit(IM_END + "\n"),
     )
     return (
-        F.when(tools.isNull(), render(m))
+        F.when(tools.isNull(), render(m, shown))
         .when(m["role"] == "system", in_system)
-        .otherwise(F.concat(tools_block(tools), render(m)))
+        .otherwise(F.concat(tools_block(tools), render(m, shown)))
     )

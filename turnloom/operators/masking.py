@@ -91,3 +91,31 @@ def token_labels_long(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataF
         F.col("m.role").alias("role"),
         F.posexplode(marked_tokens(F.col("m"), opts)).alias("place", "t"),
     ).select(*rest, "message_index", "pos", "role", "place", "t.token", "t.in_loss")
+
+
+def loss_segments(text: Column, role: Column, opts: PrepOptions) -> Column:
+    """A rendered message as ``(text, in_loss)`` pieces: one, or two or five around think tags."""
+    start, end = F.locate(THINK_OPEN, text), F.locate(THINK_CLOSE, text)
+    in_loss = role.isin(opts.loss_roles)
+
+    def piece(first: Column, stop: Column, flag: bool) -> Column:
+        return F.struct(
+            F.substr(text, first, stop - first).alias("text"), F.lit(flag).alias("in_loss")
+        )
+
+    whole = F.array(F.struct(text.alias("text"), in_loss.alias("in_loss")))
+    if opts.think_loss == "all":
+        return whole
+    first, stop = F.lit(1), F.length(text) + 1
+    opened, closed = start + len(THINK_OPEN), end + len(THINK_CLOSE)
+    if opts.think_loss == "answer_only":
+        split = F.array(piece(first, closed, False), piece(closed, stop, True))
+    else:
+        split = F.array(
+            piece(first, start, True),
+            piece(start, opened, False),
+            piece(opened, end, True),
+            piece(end, closed, False),
+            piece(closed, stop, True),
+        )
+    return F.when(in_loss & (start > 0) & (end > start), split).otherwise(whole)

@@ -220,7 +220,7 @@ def truncate_messages(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataF
     ).select(*columns, "raw_length", "structured_length", "stage")
 
 
-def truncate_tokens(flat: Column, opts: PrepOptions, eos: Column) -> Column:
+def truncate_tokens(flat: Column, opts: PrepOptions, eos: Column | None) -> Column:
     """Last-resort cut of a ``(token, in_loss)`` array.
 
     Left keeps the end. Right keeps the start and closes it with ``eos``, a
@@ -231,6 +231,8 @@ def truncate_tokens(flat: Column, opts: PrepOptions, eos: Column) -> Column:
         return flat
     if opts.truncate_side == "left":
         return F.when(F.size(flat) > limit, F.slice(flat, -limit, limit)).otherwise(flat)
+    if eos is None:
+        return F.slice(flat, 1, limit)
     ends = F.get(flat, F.lit(limit - 1))["token"] == eos["token"]
     closed = F.concat(F.slice(flat, 1, limit - 1), F.array(eos))
     return (

@@ -451,3 +451,4 @@ SELECT bucket, n_samples, ratio, repeat('█', round_even(ratio * 20, 0)::INT)
         0,
     ),
 }
+ORACLES["external_samples"] = ORACLES["exchange_samples"]

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import message as msg, tokens as tok
+from ..functions.external_tokenizer import ExternalTokenizer
 from ..operators import canonical, masking, rendering, stats, truncation
 from ..options import PrepOptions
 from ..sources import tables, turns as turn_ops
-from . import inputs, prepare
+from . import external, inputs, prepare
 
 # Token budgets at which every truncation branch has rows.
 TURN_LIMIT = 512
@@ -165,7 +166,7 @@ def unknown_role_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rendered_turns(turns: DataFrame) -> DataFrame:
-    text = msg.render(turn_ops.MESSAGE)
+    text = msg.render(turn_ops.message_columns())
     return turns.select("conv_id", F.col("pos").alias("turn"), "role", text.alias("rendered"))
 
 
@@ -334,6 +335,33 @@ def exchange_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample_rows(rows, *PAIR_KEYS)
 
 
+def external_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchanges through the plug-in tokenizer path, with the built-in split in Python."""
+    pattern = tok.TOKEN_PATTERN
+
+    def make():
+        import hashlib
+
+        import regex
+
+        split = regex.compile(pattern)
+
+        def encode(text: str) -> tuple[list[int], list[tuple[int, int]]]:
+            found = list(split.finditer(text))
+            ids = [int(hashlib.md5(m.group().encode()).hexdigest()[:7], 16) for m in found]
+            return ids, [m.span() for m in found]
+
+        return encode
+
+    rows = external.prepare_samples_with(
+        inputs.exchanges(spark, sf_dir),
+        ExternalTokenizer(make),
+        EXCHANGE_OPTIONS,
+        PAIR_KEYS,
+    )
+    return _sample_rows(rows, *PAIR_KEYS)
+
+
 def sample_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stats.sample_stats(_turn_samples(spark, sf_dir))
     return rows.select(
@@ -451,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "token_labels": token_labels,
     "samples": samples,
     "exchange_samples": exchange_samples,
+    "external_samples": external_samples,
     "sample_stats": sample_stats,
     "debug": debug,
     "len_hist": len_hist,

@@ -32,14 +32,16 @@ BROADCAST_KEYS = 100_000
 
 HAS_LOSS_ROLE = "has_loss_role"
 
-# The message fields of a turn table as columns, and those kept in array rows.
-MESSAGE = {
-    name: F.col(name)
-    for name in (*msg.MESSAGE_TYPE.fieldNames(), "open", "close")
-}
+# Message fields kept in array rows.
 ROW_FIELDS = ("pos", "role", "content", "reasoning_content", "tool_calls", "name")
 
 
+def message_columns() -> msg.Fields:
+    """The message fields of a canonical turn table as plain columns."""
+    names = (*msg.MESSAGE_TYPE.fieldNames(), "open", "close")
+    return {name: F.col(name) for name in names}
+
+
 def assemble_conversations(
     turns: DataFrame,
     key: str = "conv_id",
@@ -86,12 +88,13 @@ def canonical_turns(
         (F.col(tools) if tools else F.lit(None).cast("string")).alias("tools"),
         *[c.alias(name) for name, c in fields.items()],
     )
-    df = df.filter(~msg.is_blank_system(MESSAGE))
+    m = message_columns()
+    df = df.filter(~msg.is_blank_system(m))
     if opts.extract_think_tags:
-        df = df.withColumns(msg.think_block(MESSAGE))
-        df = df.withColumns(msg.cut_think_block(MESSAGE)).drop("open", "close")
-    df = df.withColumn("is_dropped", msg.is_dropped_think(MESSAGE, opts))
-    policy = msg.think_policy(MESSAGE, opts)
+        df = df.withColumns(msg.think_block(m))
+        df = df.withColumns(msg.cut_think_block(m)).drop("open", "close")
+    df = df.withColumn("is_dropped", msg.is_dropped_think(m, opts))
+    policy = msg.think_policy(m, opts)
     return df.withColumns(policy) if policy else df
 
 
@@ -162,7 +165,7 @@ def conversation_totals(turns: DataFrame, key: str = "conv_id") -> DataFrame:
         F.count_if(~kept).alias("dropped_think"),
         F.min_by("tools", "pos").alias("tools"),
         F.count_if(kept).alias("n_messages"),
-        F.sum(F.when(kept, token_count(msg.render(MESSAGE)))).alias("total_tokens"),
+        F.sum(F.when(kept, token_count(msg.render(message_columns())))).alias("total_tokens"),
     )
 
 
@@ -243,7 +246,7 @@ def _thinned_conversations(
     placed = (
         _join_conversations(turns, ends, key, "inner", few)
         .withColumn("trails", F.coalesce(pos > F.col("last_pos"), F.lit(True)))
-        .withColumn("n", token_count(msg.render(MESSAGE)).cast("long"))
+        .withColumn("n", token_count(msg.render(message_columns())).cast("long"))
     )
     tail_tokens = F.sum(F.when(F.col("trails"), F.col("n")).otherwise(0))
     totals = placed.groupBy(key).agg(
