@@ -88,8 +88,8 @@ class ExternalTokenizer:
         Choices start at a middle message, from old to new: the head, that
         message in its ``leading`` form (it may carry the tool schemas), the
         ``following`` ones, the tail. Then the middle is gone and the reasoning
-        of the tail's ``blocks`` (before, reasoning, after) is halved in turn;
-        reasoning that never fits is emptied. The last choice needs no fit.
+        of the tail's ``blocks`` (before or alone, reasoning, after) is halved in
+        turn; reasoning that never fits is emptied. The last choice needs no fit.
         NULL in, NULL out.
         """
         make = self.make
@@ -107,10 +107,10 @@ class ExternalTokenizer:
                     cuts = [*cuts[:i], 0, *cuts[i + 1 :]]
             yield n_middle, cuts
 
-        def block_text(block: dict, cut: int | None) -> str:
+        def block_text(block: dict, cut: int | None, start: str) -> str:
             thought = (block["reasoning"] or "")[:cut]
             shown = opens + thought + closes if thought else ""
-            return block["before"] + shown + block["after"]
+            return block[start] + shown + block["after"]
 
         @F.pandas_udf(CHOICE)
         def choose_first(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
@@ -121,7 +121,8 @@ class ExternalTokenizer:
                     return {"dropped": None, "cuts": None}
                 for start, cuts in choices(len(leading), blocks):
                     middle = "".join([*leading[start : start + 1], *following[start + 1 :]])
-                    tail = "".join(block_text(b, c) for b, c in zip(blocks, cuts)) + rest
+                    way = "before" if middle else "alone"
+                    tail = "".join(block_text(b, c, way) for b, c in zip(blocks, cuts)) + rest
                     if len(encode(head + middle + tail)[0]) <= limit:
                         break
                 return {"dropped": start, "cuts": cuts}

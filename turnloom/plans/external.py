@@ -52,15 +52,18 @@ def _choice(tokenizer: ExternalTokenizer, limit: int) -> Column:
         return F.when(leads, msg.render_first(m, tools)).otherwise(msg.render(m))
 
     def block(m: Column, i: Column) -> Column:
+        """A tail message around its reasoning; ``alone`` is how it starts without a middle."""
         shortens = msg.has_reasoning(m)
-        schemas = F.when(leads & (i == 0), F.coalesce(msg.tools_block(tools), F.lit("")))
-        before = F.concat(F.coalesce(schemas, F.lit("")), msg.opening(m))
-        end = F.concat(msg.answer(m), F.lit(IM_END + "\n"))
-        whole = F.when(i == 0, leading(m)).otherwise(msg.render(m))
+        before = F.when(shortens, msg.opening(m)).otherwise(msg.render(m))
+        schemas = F.coalesce(msg.tools_block(tools), F.lit(""))
+        carrying = F.when(shortens, F.concat(schemas, before)).otherwise(leading(m))
         return F.struct(
-            F.when(shortens, before).otherwise(whole).alias("before"),
+            before.alias("before"),
+            F.when(leads & (i == 0), carrying).otherwise(before).alias("alone"),
             F.when(shortens, m["reasoning_content"]).alias("reasoning"),
-            F.when(shortens, end).otherwise("").alias("after"),
+            F.when(shortens, F.concat(msg.answer(m), F.lit(IM_END + "\n")))
+            .otherwise("")
+            .alias("after"),
         )
 
     head_text = F.when(leads, "").otherwise(msg.render_first(F.get(messages, F.lit(0)), tools))
@@ -69,9 +72,9 @@ def _choice(tokenizer: ExternalTokenizer, limit: int) -> Column:
     return tokenizer.choose(
         F.when(over, head_text),
         F.when(over, F.transform(middle, leading)),
-        F.when(over, F.transform(middle, msg.render)),
+        F.when(over, F.transform(middle, lambda m: msg.render(m))),
         F.when(over, F.transform(F.slice(messages, tail + 1, 2), block)),
-        F.when(over, F.array_join(F.transform(rest, msg.render), "")),
+        F.when(over, F.array_join(F.transform(rest, lambda m: msg.render(m)), "")),
         limit,
     )
 

@@ -1,0 +1,5 @@
+"""Sample preparation over append-only streams of conversations."""
+
+from .samples import checkpoint_location, prepare_stream
+
+__all__ = ["checkpoint_location", "prepare_stream"]
