@@ -103,23 +103,35 @@ def drop_middle(df: DataFrame, limit: int) -> DataFrame:
     ).drop("anchor_plain")
 
 
-def _halved(m: Column, budget: Column) -> Column:
-    """``(chars, count)`` of the longest halving of the reasoning within the budget.
+def _halvings(m: Column) -> Column:
+    """``(chars, count)`` for the first ``length >> k`` characters of the reasoning, down to one.
 
-    Candidates are the first ``length >> k`` characters down to one; if none
-    fits the reasoning goes (0 characters).
+    Think tags are tokens of their own, so only the text between them is
+    counted again, with the line ends that may merge with it.
     """
     reasoning = m["reasoning_content"]
     steps = F.sequence(F.lit(0), F.length(F.bin(F.length(reasoning))) - 1)
-    tried = F.transform(
-        F.transform(steps, lambda k: F.call_function("shiftright", F.length(reasoning), k)),
-        lambda n: F.struct(
-            n.alias("chars"),
-            token_count(msg.render(m, F.substr(reasoning, F.lit(1), n))).alias("count"),
-        ),
+    lengths = F.transform(
+        steps, lambda k: F.call_function("shiftright", F.length(reasoning), k)
     )
-    cleared = F.struct(F.lit(0).alias("chars"), token_count(msg.render(m, F.lit(""))).alias("count"))
-    return F.coalesce(F.get(F.filter(tried, lambda t: t["count"] <= budget), F.lit(0)), cleared)
+
+    def inner(n: Column) -> Column:
+        return token_count(F.concat(F.lit("\n"), F.substr(reasoning, F.lit(1), n), F.lit("\n")))
+
+    return F.transform(lengths, lambda n: F.struct(n.alias("chars"), inner(n).alias("count")))
+
+
+def _first_fit(tried: Column, m: Column, budget: Column) -> Column:
+    """``(chars, count)`` of the message with the longest halving that fits, else without reasoning."""
+    rest = _count(m) - F.get(tried, F.lit(0))["count"]
+    found = F.get(F.filter(tried, lambda t: t["count"] + rest <= budget), F.lit(0))
+    shortened = F.struct(
+        found["chars"].alias("chars"), (found["count"] + rest).alias("count")
+    )
+    cleared = F.struct(
+        F.lit(0).alias("chars"), token_count(msg.render(m, F.lit(""))).alias("count")
+    )
+    return F.when(found.isNotNull(), shortened).otherwise(cleared)
 
 
 def halve_reasoning(df: DataFrame, limit: int) -> DataFrame:
@@ -136,19 +148,18 @@ def halve_reasoning(df: DataFrame, limit: int) -> DataFrame:
     def shortens(m: Column) -> Column:
         return alone & F.coalesce(msg.has_reasoning(m), F.lit(False))
 
-    df = df.withColumn(
-        "first_cut", F.when(shortens(one), _halved(one, F.lit(limit) - anchors + _count(one)))
-    )
+    tried = F.col("tried")
+    df = df.withColumn("tried", F.when(shortens(one), _halvings(one)))
+    budget = F.lit(limit) - anchors + _count(one)
+    df = df.withColumn("first_cut", F.when(tried.isNotNull(), _first_fit(tried, one, budget)))
+
     cut = F.col("first_cut")
     saved = F.coalesce(_count(one) - cut["count"], F.lit(0))
     settled = F.coalesce(cut["chars"] > 0, F.lit(False))
-    return df.withColumn(
-        "last_cut",
-        F.when(
-            shortens(two) & ~settled,
-            _halved(two, F.lit(limit) - anchors + saved + _count(two)),
-        ),
-    )
+    df = df.withColumn("tried", F.when(shortens(two) & ~settled, _halvings(two)))
+    budget = F.lit(limit) - anchors + saved + _count(two)
+    df = df.withColumn("last_cut", F.when(tried.isNotNull(), _first_fit(tried, two, budget)))
+    return df.drop("tried")
 
 
 def _shorten(m: Column, cut: Column) -> Column:
