@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import message as msg
+from ..functions.barrier import computed_once
 from ..functions.tokens import token_count, tokens
 from ..options import PrepOptions
 
@@ -124,14 +125,13 @@ def _halvings(m: Column) -> Column:
 def _first_fit(tried: Column, m: Column, budget: Column) -> Column:
     """``(chars, count)`` of the message with the longest halving that fits, else without reasoning."""
     rest = _count(m) - F.get(tried, F.lit(0))["count"]
-    found = F.get(F.filter(tried, lambda t: t["count"] + rest <= budget), F.lit(0))
-    shortened = F.struct(
-        found["chars"].alias("chars"), (found["count"] + rest).alias("count")
+    whole = F.transform(
+        tried, lambda t: F.struct(t["chars"].alias("chars"), (t["count"] + rest).alias("count"))
     )
     cleared = F.struct(
         F.lit(0).alias("chars"), token_count(msg.render(m, F.lit(""))).alias("count")
     )
-    return F.when(found.isNotNull(), shortened).otherwise(cleared)
+    return F.coalesce(F.get(F.filter(whole, lambda t: t["count"] <= budget), F.lit(0)), cleared)
 
 
 def halve_reasoning(df: DataFrame, limit: int) -> DataFrame:
@@ -149,16 +149,16 @@ def halve_reasoning(df: DataFrame, limit: int) -> DataFrame:
         return alone & F.coalesce(msg.has_reasoning(m), F.lit(False))
 
     tried = F.col("tried")
-    df = df.withColumn("tried", F.when(shortens(one), _halvings(one)))
+    df = df.withColumn("tried", computed_once(F.when(shortens(one), _halvings(one))))
     budget = F.lit(limit) - anchors + _count(one)
-    df = df.withColumn("first_cut", F.when(tried.isNotNull(), _first_fit(tried, one, budget)))
+    df = df.withColumn("first_cut", computed_once(F.when(tried.isNotNull(), _first_fit(tried, one, budget))))
 
     cut = F.col("first_cut")
     saved = F.coalesce(_count(one) - cut["count"], F.lit(0))
     settled = F.coalesce(cut["chars"] > 0, F.lit(False))
-    df = df.withColumn("tried", F.when(shortens(two) & ~settled, _halvings(two)))
+    df = df.withColumn("tried", computed_once(F.when(shortens(two) & ~settled, _halvings(two))))
     budget = F.lit(limit) - anchors + saved + _count(two)
-    df = df.withColumn("last_cut", F.when(tried.isNotNull(), _first_fit(tried, two, budget)))
+    df = df.withColumn("last_cut", computed_once(F.when(tried.isNotNull(), _first_fit(tried, two, budget))))
     return df.drop("tried")
 
 
@@ -216,7 +216,7 @@ def truncate_messages(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataF
     )
     df = df.withColumns(
         {
-            "messages": _kept_messages(),
+            "messages": computed_once(_kept_messages()),
             "raw_length": F.col("raw_total") + _skipped(df, SKIPPED_TOTAL),
             "fitted_by": F.when(shortened, "reasoning")
             .when(F.col("dropped") > 0, "middle")
