@@ -12,4 +12,4 @@ def computed_once(c: Column) -> Column:
     repeats the work and can make long chains explode. It leaves
     non-deterministic columns where they are. Filter on keys before preparing.
     """
-    return F.when(F.rand() >= 0, c)
+    return F.when(F.floor(F.rand()) == 0, c)
