@@ -53,6 +53,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns that are computed once, however often they are used.
+
+    Spark may copy an expression into its users, lambda bodies and inferred filters
+    included; it does not copy the output of a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality, simhash_dedup
+from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaks: one row per document and benchmark item that it repeats."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks(docs, items).withColumnRenamed("id", "doc_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip_digests(docs, vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.drop("row").withColumnRenamed("id", "doc_id")
@@ -44,9 +56,11 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_bpe": op3_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_quality": op8_quality,
+    "pipeline": pipeline,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
 
