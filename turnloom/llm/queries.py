@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup
-from .common import table
+from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup, token_files
+from .common import scratch_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(docs, vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_shards(docs, path, vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -58,6 +66,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_bpe": op3_bpe,
+    "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_quality": op8_quality,
     "pipeline": pipeline,
