@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _local_folders: dict[str, str] = {}
 
@@ -62,6 +63,11 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def nullable(schema: T.StructType) -> T.StructType:
+    """The schema with every column allowed to be NULL, for rows made in Python."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup, token_files
+from . import bpe, decontaminate, exact_dedup, lm_score, quality, simhash_dedup, token_files
 from .common import scratch_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, items).withColumnRenamed("id", "doc_id")
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lm_score.language_model_scores(table(spark, sf_dir, "documents"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip_digests(docs, vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
@@ -65,6 +70,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_lm_score": op2_lm_score,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
