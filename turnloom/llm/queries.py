@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, lm_score, quality, simhash_dedup, token_files
+from . import bpe, decontaminate, exact_dedup, lm_score, personal_data, quality, simhash_dedup, token_files
 from .common import scratch_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,21 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans."""
+    rows = personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *[count(i).alias(f"n_{name}") for i, name in enumerate(personal_data.KINDS)],
+        F.sha2(personal_data.span_text(F.col("base")), 256).alias("base_sha256"),
+        personal_data.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lm_score": op2_lm_score,
@@ -77,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "pipeline": pipeline,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {
