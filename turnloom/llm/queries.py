@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, exact_dedup, lm_score, personal_data, quality, simhash_dedup, token_files
+from . import bpe, chat_format, decontaminate, exact_dedup, license_scan, lm_score, personal_data, quality, simhash_dedup, token_files
 from .common import scratch_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and license notice that it holds."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.license_matches(docs, license_scan.templates(spark)).withColumnRenamed("id", "doc_id")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.quality_scores(docs, labels).withColumnRenamed("id", "doc_id")
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
     "pipeline": pipeline,
     "op9_simhash_dedup": op9_simhash_dedup,
