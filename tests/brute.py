@@ -16,7 +16,7 @@ SPLIT = regex.compile(TOKEN_PATTERN)
 
 def encode(text):
     found = list(SPLIT.finditer(text))
-    ids = [int(hashlib.md5(m.group().encode()).hexdigest()[:7], 16) for m in found]
+    ids = [int(hashlib.md5(m.group().encode()).hexdigest()[:15], 16) for m in found]
     return ids, [m.span() for m in found]
 
 

@@ -114,7 +114,8 @@ def test_unknown_schema_has_no_messages(spark):
         (None, None, False),
         ("  ", None, False),
         ("[]", "[]", True),
-        (' {"a": 1} ', '{"a": 1}', True),
+        (' {"a": 1} ', '{"a":1}', True),
+        ('{ "a" : [ 1 , "x  \\" y" ] }', '{"a":[1,"x  \\" y"]}', True),
         ("null", None, False),
         ("bad{ ", "bad{ ", False),
     ],

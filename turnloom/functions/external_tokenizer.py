@@ -21,7 +21,7 @@ Encode = Callable[[str], tuple[list[int], list[tuple[int, int]]]]
 
 MARKED_IDS = T.StructType(
     [
-        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("ids", T.ArrayType(T.LongType())),
         T.StructField("in_loss", T.ArrayType(T.BooleanType())),
     ]
 )
@@ -36,11 +36,18 @@ CHOICE = T.StructType(
 
 @dataclass(frozen=True)
 class ExternalTokenizer:
-    """``make`` (and ``make_decode``) run on the workers and must be picklable."""
+    """``make`` (and ``make_decode``) run on the workers and must be picklable.
+
+    ``atomic_markers`` states that no token reaches across a template marker or think tag
+    and that each is a token of its own, as in chat tokenizers. Then counts of messages add
+    up, each message is encoded once, and what fits follows from sums. Without it every
+    choice is encoded as a whole text.
+    """
 
     make: Callable[[], Encode]
     eos_id: int | None = None
     make_decode: Callable[[], Callable[[list[int]], str]] | None = None
+    atomic_markers: bool = False
 
     def count(self, text: Column) -> Column:
         """Number of tokens of a text."""
@@ -92,7 +99,7 @@ class ExternalTokenizer:
         turn; reasoning that never fits is emptied. The last choice needs no fit.
         NULL in, NULL out.
         """
-        make = self.make
+        make, additive = self.make, self.atomic_markers
         opens, closes = think_text("|").split("|")
 
         def choices(n_middle: int, blocks: list) -> Iterator[tuple[int, list[int | None]]]:
@@ -116,9 +123,38 @@ class ExternalTokenizer:
         def choose_first(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             encode = make()
 
+            def size(text: str) -> int:
+                return len(encode(text)[0])
+
+            def summed(head, leading, following, blocks, rest) -> dict:
+                """The same choice from counts of messages, each encoded once."""
+                n = len(leading)
+                fixed = size(head) + size(rest)
+                after = [0] * (n + 1)
+                for i in range(n - 1, -1, -1):
+                    after[i] = after[i + 1] + size(following[i])
+                whole = [size(block_text(b, None, "before")) for b in blocks]
+                for start in range(1, n):
+                    if fixed + sum(whole) + after[start + 1] + size(leading[start]) <= limit:
+                        return {"dropped": start, "cuts": [None] * len(blocks)}
+                sizes = [size(block_text(b, None, "alone")) for b in blocks]
+                cuts: list[int | None] = [None] * len(blocks)
+                for i, block in enumerate(blocks):
+                    length = len(block["reasoning"] or "")
+                    for halvings in range(length.bit_length()):
+                        cut = length >> halvings
+                        n_cut = size(block_text(block, cut, "alone"))
+                        if fixed + sum(sizes) - sizes[i] + n_cut <= limit:
+                            return {"dropped": n, "cuts": [*cuts[:i], cut, *cuts[i + 1 :]]}
+                    if length:
+                        cuts[i], sizes[i] = 0, size(block_text(block, 0, "alone"))
+                return {"dropped": n, "cuts": cuts}
+
             def chosen(head, leading, following, blocks, rest) -> dict:
                 if head is None:
                     return {"dropped": None, "cuts": None}
+                if additive:
+                    return summed(head, leading, following, blocks, rest)
                 for start, cuts in choices(len(leading), blocks):
                     middle = "".join([*leading[start : start + 1], *following[start + 1 :]])
                     way = "before" if middle else "alone"

@@ -46,7 +46,7 @@ def from_source(m: Message, source: T.StructType, pos: Column, opts: PrepOptions
     def text(name: str) -> Column:
         return as_string(m[name], types[name]) if name in types else F.lit(None).cast("string")
 
-    target = text(opts.reasoning_field)
+    target = text(opts.reasoning_target)
     others = [F.nullif(strip(text(k)), F.lit("")) for k in opts.reasoning_sources if k in types]
     fallback = F.coalesce(*others) if others else F.lit(None).cast("string")
     moves = is_blank(target) & fallback.isNotNull()

@@ -40,6 +40,18 @@ def as_string(c: Column, dtype: T.DataType) -> Column:
     return c if isinstance(dtype, T.StringType) else c.cast("string")
 
 
+def truthy_text(c: Column, dtype: T.DataType) -> Column:
+    """A value as text, or NULL where it counts as false: NULL, '', zero, false, an empty list or map."""
+    text = as_string(c, dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, text)
+    if isinstance(dtype, T.NumericType):
+        return F.when(c != 0, text)
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return F.when(F.size(c) > 0, text)
+    return F.nullif(text, F.lit(""))
+
+
 def first_truthy(*cols: Column) -> Column:
     """First value that is neither NULL nor '', else ''."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols], F.lit(""))

@@ -32,8 +32,11 @@ def token_count(c: Column) -> Column:
 
 
 def token_id(token: Column) -> Column:
-    """28-bit id of one token: the first seven hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("int")
+    """60-bit id of one token: the first fifteen hex digits of its MD5.
+
+    Ids of different tokens may still meet; ``token_frequencies`` reports them.
+    """
+    return F.conv(F.substring(F.md5(token), 1, 15), 16, 10).cast("long")
 
 
 def token_ids(token_array: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import message as msg
-from ..functions.text import first_truthy, to_text
+from ..functions.text import first_truthy, to_text, truthy_text
 from ..options import PrepOptions
 from .tools import normalize_tools
 
@@ -56,12 +56,12 @@ def detect_schema(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataFrame
 def pairs_to_messages(df: DataFrame) -> Column:
     """User and assistant message of a prompt/response row.
 
-    The reply is the first response column that is neither NULL nor empty.
+    The reply is the first response column whose value does not count as false.
     """
     types = {f.name: f.dataType for f in df.schema}
     prompt = to_text(F.col(PROMPT_COLUMN), types[PROMPT_COLUMN]) if PROMPT_COLUMN in types else F.lit("")
     reply = first_truthy(
-        *[to_text(F.col(c), types[c]) for c in RESPONSE_COLUMNS if c in types], F.lit("")
+        *[truthy_text(F.col(c), types[c]) for c in RESPONSE_COLUMNS if c in types], F.lit("")
     )
     return F.array(msg.plain_message("user", prompt), msg.plain_message("assistant", reply))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.barrier import computed_once
+from ..functions.barrier import with_computed
 from ..functions.tokens import EOS_TOKEN, IGNORED_LABEL, THINK_CLOSE, THINK_OPEN, token_id
 from ..options import PrepOptions
 
@@ -69,7 +69,7 @@ def labels(df: DataFrame) -> DataFrame:
         "marked",
         lambda t: F.struct(token_id(t["token"]).alias("id"), t["in_loss"].alias("in_loss")),
     )
-    df = df.withColumn("coded", computed_once(coded))
+    df = with_computed(df, {"coded": coded})
     return df.withColumns(
         {
             "input_ids": F.col("coded.id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import message as msg
-from ..functions.barrier import computed_once
+from ..functions.barrier import with_computed
 from ..functions.tokens import IM_START, THINK_CLOSE, THINK_OPEN, token_count, tokens
 
 # Fixed value: the default system sentence of single prompts.
@@ -49,7 +49,7 @@ def tokenize_messages(df: DataFrame) -> DataFrame:
             takes_in, token_count(msg.render_first(m, tools)) - F.size(m["tokens"])
         )
 
-    df = df.withColumns({"messages": computed_once(with_tokens), "tools_tokens": own_block})
+    df = with_computed(df, {"messages": with_tokens, "tools_tokens": own_block})
     return df.withColumn(
         "messages", F.transform("messages", lambda m: m.withField("lead", lead(m)))
     )

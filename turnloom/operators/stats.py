@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.tokens import IGNORED_LABEL
+from ..functions.tokens import IGNORED_LABEL, token_id
 
 # Reported percentiles and the width of the share bar.
 PERCENTILES = (25, 50, 75, 90, 95, 99)
 BAR_WIDTH = 20
+# Leading bits of a length that name its band.
+BAND_BITS = 7
 
 
 def sample_stats(samples: DataFrame, keep: tuple[str, ...] = ("conv_id",)) -> DataFrame:
@@ -44,14 +46,22 @@ def raw_lengths(
 def length_percentiles(histogram: DataFrame, max_length: int | None = 0) -> DataFrame:
     """p25 to p99 and the maximum: the element at ``int(p / 100 * (n - 1))`` in length order.
 
-    ``at_max`` flags percentiles that reach ``max_length``. The running count
-    goes over the histogram, which has at most one row per distinct length.
+    ``at_max`` flags percentiles that reach ``max_length``. Lengths fall into bands
+    that widen with the length. Only the bands, at most some thousand whatever the
+    table, are put in order in one place; the running count goes on inside each band.
     """
-    by_length = Window.orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    counted = histogram.withColumns(
-        {"upto": F.sum("n_samples").over(by_length), "n": F.sum("n_samples").over(everything)}
+    length = F.col("length").cast("long")
+    spare = F.greatest(F.length(F.bin(length)) - BAND_BITS, F.lit(0))
+    banded = histogram.withColumn("band", (spare * 2**BAND_BITS + F.call_function("shiftright", length, spare)))
+    before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = banded.groupBy("band").agg(F.sum("n_samples").alias("in_band"))
+    starts = bands.select(
+        "band",
+        F.coalesce(F.sum("in_band").over(before), F.lit(0)).alias("start"),
+        F.sum("in_band").over(Window.partitionBy()).alias("n"),
     )
+    inside = Window.partitionBy("band").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
+    counted = banded.join(starts, "band").withColumn("upto", F.col("start") + F.sum("n_samples").over(inside))
 
     def at(p: int) -> Column:
         index = F.floor(F.lit(p / 100.0) * (F.col("n") - 1))
@@ -134,6 +144,52 @@ def truncation_summary(histogram: DataFrame, max_length: int) -> DataFrame:
     )
 
 
+def length_advice(histogram: DataFrame, max_length: int) -> DataFrame:
+    """One row: shares of samples at ``max_length`` and below a quarter of it, and what to do."""
+    shares = window_utilisation(histogram, max_length).agg(
+        F.max(F.when(F.col("bucket") == "at max", F.col("ratio"))).alias("at_max_share"),
+        F.max(F.when(F.col("bucket") == "< 25%", F.col("ratio"))).alias("short_share"),
+    )
+    # Shares above which advice is given.
+    advice = (
+        F.when(F.col("at_max_share") > 0.30, "raise max_length or filter long samples")
+        .when(F.col("short_share") > 0.50, "lower max_length")
+        .otherwise("keep max_length")
+    )
+    return shares.filter(F.col("at_max_share").isNotNull()).withColumn("advice", advice)
+
+
+def role_totals(marked: DataFrame) -> DataFrame:
+    """Tokens and loss tokens by role, from turns with ``role``, ``n_tokens``, ``n_loss``."""
+    return marked.groupBy("role").agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.sum("n_tokens").cast("long").alias("tokens"),
+        F.sum("n_loss").cast("long").alias("loss_tokens"),
+    )
+
+
+def tools_overhead(costs: DataFrame, max_length: int) -> DataFrame:
+    """What tool schemas add, by whether a conversation has any.
+
+    Takes ``total_tokens`` with the schemas and ``tools_cost`` of each conversation.
+    """
+    reaches = F.when(F.col("total_tokens") >= max_length, 1.0).otherwise(0.0)
+    return costs.groupBy((F.col("tools_cost") > 0).alias("tools_present")).agg(
+        F.count(F.lit(1)).alias("n_conversations"),
+        F.sum("tools_cost").cast("long").alias("added_tokens"),
+        F.avg("tools_cost").alias("mean_added"),
+        F.max("tools_cost").cast("long").alias("max_added"),
+        F.avg(reaches).alias("at_max_share"),
+    )
+
+
+def token_frequencies(listed: DataFrame) -> DataFrame:
+    """Count, id and ``n_same_id`` of each token: the tokens that share its id, itself included."""
+    counted = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("token_id", token_id(F.col("token")))
+    same = Window.partitionBy("token_id")
+    return counted.withColumn("n_same_id", F.count(F.lit(1)).over(same))
+
+
 def length_report(lengths: DataFrame, max_length: int | None = 0) -> dict[str, DataFrame]:
     """All length tables by name; the window tables need a ``max_length``."""
     histogram = length_histogram(lengths)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import message as msg
-from ..functions.barrier import computed_once
+from ..functions.barrier import with_computed
 from ..functions.tokens import token_count, tokens
 from ..options import PrepOptions
 
@@ -28,8 +28,8 @@ def total(messages: Column) -> Column:
 
 
 def _lead(m: Column) -> Column:
-    """Tokens of the tool schemas if ``m`` comes first."""
-    return F.coalesce(m["lead"], F.col("tools_tokens"))
+    """Tokens of the tool schemas if ``m`` comes first; none where there is no message."""
+    return F.when(m.isNull(), 0).otherwise(F.coalesce(m["lead"], F.col("tools_tokens")))
 
 
 def _skipped(df: DataFrame, name: str) -> Column:
@@ -149,16 +149,16 @@ def halve_reasoning(df: DataFrame, limit: int) -> DataFrame:
         return alone & F.coalesce(msg.has_reasoning(m), F.lit(False))
 
     tried = F.col("tried")
-    df = df.withColumn("tried", computed_once(F.when(shortens(one), _halvings(one))))
+    df = with_computed(df, {"tried": F.when(shortens(one), _halvings(one))})
     budget = F.lit(limit) - anchors + _count(one)
-    df = df.withColumn("first_cut", computed_once(F.when(tried.isNotNull(), _first_fit(tried, one, budget))))
+    df = with_computed(df, {"first_cut": F.when(tried.isNotNull(), _first_fit(tried, one, budget))})
 
     cut = F.col("first_cut")
     saved = F.coalesce(_count(one) - cut["count"], F.lit(0))
     settled = F.coalesce(cut["chars"] > 0, F.lit(False))
-    df = df.withColumn("tried", computed_once(F.when(shortens(two) & ~settled, _halvings(two))))
+    df = with_computed(df, {"tried": F.when(shortens(two) & ~settled, _halvings(two))})
     budget = F.lit(limit) - anchors + saved + _count(two)
-    df = df.withColumn("last_cut", computed_once(F.when(tried.isNotNull(), _first_fit(tried, two, budget))))
+    df = with_computed(df, {"last_cut": F.when(tried.isNotNull(), _first_fit(tried, two, budget))})
     return df.drop("tried")
 
 
@@ -216,13 +216,13 @@ def truncate_messages(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataF
     )
     df = df.withColumns(
         {
-            "messages": computed_once(_kept_messages()),
             "raw_length": F.col("raw_total") + _skipped(df, SKIPPED_TOTAL),
             "fitted_by": F.when(shortened, "reasoning")
             .when(F.col("dropped") > 0, "middle")
             .otherwise("fits"),
         }
     )
+    df = with_computed(df, {"messages": _kept_messages()})
     df = df.withColumn("messages", _with_tool_tokens(F.col("tools")))
     df = df.withColumn("structured_length", total(F.col("messages")) + _skipped(df, SKIPPED_TAIL))
     return df.withColumn(

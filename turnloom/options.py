@@ -43,7 +43,7 @@ class PrepOptions:
     def reasoning_sources(self) -> list[str]:
         """Fields searched, in order, when the reasoning field itself is blank."""
         keys = self.reasoning_keys or REASONING_KEYS
-        return [k for k in keys if k != self.reasoning_field]
+        return [k for k in keys if k != self.reasoning_target]
 
     @property
     def loss_roles(self) -> list[str]:

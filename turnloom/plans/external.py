@@ -126,7 +126,7 @@ def prepare_samples_with(
     eos = None
     if tokenizer.eos_id is not None:
         eos = F.struct(
-            F.lit(tokenizer.eos_id).alias("token"), F.lit(False).alias("in_loss")
+            F.lit(tokenizer.eos_id).cast("long").alias("token"), F.lit(False).alias("in_loss")
         )
     flat = F.arrays_zip(F.col("coded.ids").alias("token"), F.col("coded.in_loss").alias("in_loss"))
     cut = coded.withColumn("flat", flat).withColumn(

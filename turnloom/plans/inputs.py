@@ -14,6 +14,8 @@ VARIED_COLUMNS = (
     "turn",
     """CASE WHEN role = 'user' AND conv_id % 7 = 3 AND turn > 1 THEN ' function '
        WHEN role = 'user' AND conv_id % 5 = 2 AND turn > 1 THEN 'think'
+       WHEN role = 'user' AND conv_id % 7 = 5 AND turn > 2 THEN 'observer'
+       WHEN role = 'user' AND conv_id % 7 = 5 THEN ' critic'
        ELSE role END AS role""",
     """CASE WHEN role = 'system' AND conv_id % 5 < 2 THEN '  ' || chr(10)
        WHEN role = 'assistant' AND (conv_id + turn) % 3 = 0
@@ -26,10 +28,12 @@ VARIED_COLUMNS = (
        WHEN role = 'assistant' AND (conv_id + turn) % 3 = 2 THEN '   ' END AS reasoning""",
     """CASE WHEN role = 'assistant' AND (conv_id + turn) % 6 = 2
        THEN ' ' || text || chr(10) END AS thinking""",
-    """CASE conv_id % 4
+    """CASE WHEN conv_id % 8 = 4
+       THEN ' [ {"type": "function",' || chr(10) || ' "function" : {"name": "look  up"} } ]'
+       ELSE CASE conv_id % 4
        WHEN 0 THEN '[{"type":"function","function":{"name":"lookup","parameters":{"type":"object"}}}]'
        WHEN 1 THEN '  '
-       WHEN 2 THEN 'not json' END AS tools""",
+       WHEN 2 THEN 'not json' END END AS tools""",
 )
 VARIED_TURNS_SQL = f"SELECT {', '.join(VARIED_COLUMNS)} FROM conversations"
 
@@ -47,50 +51,37 @@ def varied_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations(spark, sf_dir).selectExpr(*VARIED_COLUMNS)
 
 
-def _next_turn(turns: DataFrame) -> DataFrame:
-    """Each user turn joined to the assistant turn that follows it.
+def reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat prompt/response rows, one for each user turn, with the reply that follows at once.
 
-    An equi-join on conversation and turn, so long conversations spread out.
+    The reply stands in ``response``, in ``completion`` beside a blank response, or in
+    ``answer`` beside NULLs. Unanswered prompts have NULLs only. An equi-join on
+    conversation and turn, so long conversations spread out.
     """
+    turns = conversations(spark, sf_dir)
     asked = turns.filter("role = 'user'").alias("q")
     replied = turns.filter("role = 'assistant'").withColumn("turn", F.col("turn") - 1).alias("a")
-    return asked.join(replied, ["conv_id", "turn"])
-
-
-def reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat prompt/response rows; every third conversation replies in ``completion``."""
-    elsewhere = F.col("conv_id") % 3 == 0
-    return _next_turn(conversations(spark, sf_dir)).select(
+    reply, form = F.col("a.text"), F.col("conv_id") % 3
+    return asked.join(replied, ["conv_id", "turn"], "left").select(
         "conv_id",
         "turn",
         F.col("q.text").alias("prompt"),
-        F.when(elsewhere, F.lit("")).otherwise(F.col("a.text")).alias("response"),
-        F.when(elsewhere, F.col("a.text")).alias("completion"),
+        F.when(form == 0, F.lit("")).when(form == 1, reply).alias("response"),
+        F.when(form == 0, reply).alias("completion"),
+        F.when(form == 2, reply).alias("answer"),
     )
 
 
-def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A message-list table: one row per question and reply, with tools."""
+def message_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message-list table: whole conversations, one to a row, with tools."""
     fields = ("role", "content", "reasoning_content", "reasoning", "thinking")
-    return _next_turn(varied_turns(spark, sf_dir)).select(
-        "conv_id",
-        "turn",
-        F.array(
-            *[F.struct(*[F.col(f"{side}.{f}").alias(f) for f in fields]) for side in "qa"]
-        ).alias("messages"),
-        F.col("q.tools").alias("tools"),
+    grouped = varied_turns(spark, sf_dir).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", *fields))).alias("m"),
+        F.min_by("tools", "turn").alias("tools"),
     )
+    return grouped.select("conv_id", F.transform("m", lambda m: m.dropFields("turn")).alias("messages"), "tools")
 
 
-def mixed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of which even conversations come as message lists instead."""
-    as_list = F.array(
-        F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content")),
-        F.struct(
-            F.lit("assistant").alias("role"),
-            F.coalesce("completion", "response").alias("content"),
-        ),
-    )
-    return reply_pairs(spark, sf_dir).withColumn(
-        "messages", F.when(F.col("conv_id") % 2 == 0, as_list)
-    )
+def shapeless_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that have neither a message list nor a prompt: the system turns as they are."""
+    return conversations(spark, sf_dir).filter("role = 'system'")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from ..functions.tokens import TOKEN_PATTERN
 from ..operators.rendering import DEFAULT_SYSTEM
 from .inputs import VARIED_TURNS_SQL
-from .queries import EXCHANGE_LIMIT, TURN_LIMIT
+from .queries import LIST_LIMIT, TURN_LIMIT
 
 _WS = "(' ' || chr(9) || chr(10) || chr(13))"
 _THINK = r"(?s)<think>\s*(.*?)\s*</think>\s*"
@@ -36,19 +36,8 @@ PLAIN = """varied AS (
          NULL::VARCHAR AS reasoning, NULL::VARCHAR AS thinking, NULL::VARCHAR AS tools
   FROM conversations)"""
 
-# One group per question and reply, numbered like a conversation.
-EXCHANGED = f"""exchanged AS (
-  SELECT q.conv_id, q.turn AS q_turn, s.side AS turn,
-    CASE WHEN s.side = 0 THEN q.role ELSE a.role END AS role,
-    CASE WHEN s.side = 0 THEN q.content ELSE a.content END AS content,
-    CASE WHEN s.side = 0 THEN q.reasoning_content ELSE a.reasoning_content END AS reasoning_content,
-    CASE WHEN s.side = 0 THEN q.reasoning ELSE a.reasoning END AS reasoning,
-    CASE WHEN s.side = 0 THEN q.thinking ELSE a.thinking END AS thinking,
-    q.tools
-  FROM varied q
-  JOIN varied a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant'
-  CROSS JOIN (SELECT unnest([0, 1]) AS side) s
-  WHERE q.role = 'user')"""
+# Tool schemas without white space between JSON tokens.
+_TIGHT = r"""regexp_replace({0}, '("(?:[^"\\]|\\.)*")|[ \t\r\n]+', '\1', 'g')"""
 
 
 def _canonical(source: str, key: str, think: bool = True, drop: bool = False) -> str:
@@ -80,7 +69,7 @@ thought AS (
 canon AS (
   SELECT {key}, turn, role, content, moved, extracted, {cleared} AS r, {dropped} AS is_dropped,
     CASE WHEN {_trim('tools')} = '' THEN NULL
-         WHEN json_valid({_trim('tools')}) THEN {_trim('tools')} ELSE tools END AS tools,
+         WHEN json_valid({_trim('tools')}) THEN {_TIGHT.format(_trim('tools'))} ELSE tools END AS tools,
     tools IS NOT NULL AND json_valid(tools) AS tools_from_string
   FROM thought)"""
 
@@ -203,7 +192,7 @@ marked AS (
   SELECT {key}, turn, i, role, place, token, {spans[mode]} AS in_loss FROM offsets)"""
 
 
-_ID = "('0x' || substr(md5(token), 1, 7))::INTEGER"
+_ID = "('0x' || substr(md5(token), 1, 15))::BIGINT"
 
 
 def _cut(key: str, limit: int, side: str) -> str:
@@ -237,8 +226,7 @@ def _samples(key: str, limit: int, side: str = "left", mode: str = "all", filter
 
 
 _TURNS = (VARIED, _canonical("varied", "conv_id"))
-_PAIRS = (VARIED, EXCHANGED, _canonical("exchanged", "conv_id, q_turn"))
-_PAIR_KEY = "conv_id, q_turn"
+_DROPPED = (VARIED, _canonical("varied", "conv_id", drop=True))
 _FIT = (*_TURNS, _pieces("conv_id"), _fitted("conv_id", TURN_LIMIT))
 _PLAIN_FIT = (
     PLAIN,
@@ -250,21 +238,24 @@ _PLAIN_FIT = (
 _SAMPLE_SELECT = """SELECT conv_id, input_ids, labels, n AS n_attended,
   structured_length AS original_length, raw_length FROM cut JOIN lengths USING (conv_id)"""
 
-_REPORT = f"""report AS (
-  SELECT conv_id, q_turn, 'messages' AS schema, sum(extracted)::BIGINT AS extracted_think,
-    sum(moved)::BIGINT AS moved_reasoning, 0::BIGINT AS dropped_think,
+_REPORT = """odd AS (
+  SELECT conv_id, string_agg(role, ',' ORDER BY seen) AS roles FROM (
+    SELECT conv_id, role, min(turn) AS seen FROM canon WHERE NOT is_dropped
+      AND role NOT IN ('', 'system', 'user', 'assistant', 'tool', 'think') GROUP BY 1, 2)
+  GROUP BY conv_id),
+report AS (
+  SELECT conv_id, 'messages' AS schema, sum(extracted)::BIGINT AS extracted_think,
+    sum(moved)::BIGINT AS moved_reasoning, count(*) FILTER (WHERE is_dropped) AS dropped_think,
     any_value(tools) IS NOT NULL AS tools_present,
     bool_or(tools_from_string) AS tools_from_string,
-    coalesce(string_agg(DISTINCT role, ',') FILTER (WHERE role NOT IN
-      ('', 'system', 'user', 'assistant', 'tool', 'think')), '') AS unknown_roles
-  FROM canon GROUP BY conv_id, q_turn)"""
+    coalesce(any_value(roles), '') AS unknown_roles
+  FROM canon LEFT JOIN odd USING (conv_id) GROUP BY conv_id)"""
 
-_NEIGHBOURS = """neighbours AS (
-  SELECT conv_id, turn, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text,
-    lead(turn) OVER w AS next_turn
-  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-asked AS (SELECT * FROM neighbours
-  WHERE role = 'user' AND next_role = 'assistant' AND next_turn = turn + 1)"""
+_NEIGHBOURS = """asked AS (
+  SELECT q.conv_id, q.turn, q.text, coalesce(a.text, '') AS reply
+  FROM conversations q LEFT JOIN conversations a
+    ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant'
+  WHERE q.role = 'user')"""
 
 
 def _loss(mode: str) -> str:
@@ -293,9 +284,9 @@ SELECT v.label, v.length, {flag} AS at_max FROM (
 _LENS = _with(*_PLAIN_FIT) + ", lens AS (SELECT final_length AS len FROM lengths)"
 
 _EX_FIRST = f"""joined AS (
-  SELECT conv_id, q_turn AS turn,
+  SELECT conv_id,
     string_agg(CASE WHEN i = 0 THEN first_piece ELSE piece END, '' ORDER BY i) AS rendered
-  FROM pieces GROUP BY conv_id, q_turn)"""
+  FROM pieces GROUP BY conv_id)"""
 
 ORACLES: dict[str, str] = {
     "assemble": f"""SELECT conv_id, turn // 4096 AS part, count(*) AS n_messages,
@@ -304,12 +295,13 @@ FROM conversations GROUP BY 1, 2""",
     "explode": """SELECT conv_id, turn // 4096 AS part,
   row_number() OVER (PARTITION BY conv_id, turn // 4096 ORDER BY turn) - 1 AS position,
   role, text AS content FROM conversations""",
-    "detect_schema": _with(_NEIGHBOURS)
-    + """SELECT conv_id, turn,
-  CASE WHEN conv_id % 2 = 0 THEN 'messages' ELSE 'prompt_response' END AS schema FROM asked""",
+    "detect_schema": """SELECT conv_id, 0::BIGINT AS turn, 'messages' AS schema
+FROM (SELECT DISTINCT conv_id FROM conversations)
+UNION ALL SELECT conv_id, turn, 'prompt_response' FROM conversations WHERE role = 'user'
+UNION ALL SELECT conv_id, turn, 'unknown' FROM conversations WHERE role = 'system'""",
     "pairs": _with(_NEIGHBOURS)
     + """SELECT conv_id, turn, 'prompt_response' AS schema, text AS user_text,
-  next_text AS assistant_text FROM asked""",
+  reply AS assistant_text FROM asked""",
     "clean_messages": _with(VARIED, _canonical("varied", "conv_id", think=False))
     + "SELECT conv_id, turn, role, content FROM canon",
     "reasoning_norm": _with(VARIED, _canonical("varied", "conv_id", think=False))
@@ -323,8 +315,8 @@ FROM conversations GROUP BY 1, 2""",
     "think_policy": _with(VARIED, _canonical("varied", "conv_id", drop=True))
     + """SELECT conv_id, turn, role, content, r AS reasoning_content
 FROM canon WHERE NOT is_dropped""",
-    "tools_norm": _with(*_PAIRS)
-    + """SELECT DISTINCT conv_id, q_turn AS turn, tools, tools_from_string FROM canon""",
+    "tools_norm": _with(*_TURNS)
+    + """SELECT DISTINCT conv_id, tools, tools_from_string FROM canon""",
     "unknown_roles": _with(*_TURNS)
     + """SELECT conv_id, role, min(turn) AS first_seen FROM canon
 WHERE role NOT IN ('', 'system', 'user', 'assistant', 'tool', 'think') GROUP BY 1, 2""",
@@ -334,25 +326,28 @@ WHERE role NOT IN ('', 'system', 'user', 'assistant', 'tool', 'think') GROUP BY
   count(*) FILTER (WHERE NOT is_dropped) AS n_messages,
   sum(CASE WHEN NOT is_dropped THEN len({_toks(_render('r'))}) END)::BIGINT AS total_tokens
 FROM canon GROUP BY conv_id""",
-    "parse_report": _with(*_PAIRS, _REPORT)
-    + "SELECT * EXCLUDE (q_turn), q_turn AS turn FROM report",
-    "parse_summary": _with(*_PAIRS, _REPORT)
-    + """SELECT schema, count(*) AS n_rows, sum(extracted_think)::BIGINT AS extracted_think,
+    "parse_report": _with(*_DROPPED, _REPORT) + "SELECT * FROM report",
+    "parse_summary": _with(*_DROPPED, _REPORT)
+    + """, every AS (
+  SELECT schema, extracted_think, moved_reasoning, dropped_think, tools_present, tools_from_string FROM report
+  UNION ALL SELECT CASE role WHEN 'user' THEN 'prompt_response' ELSE 'unknown' END, 0, 0, 0, false, false
+  FROM conversations WHERE role IN ('user', 'system'))
+SELECT schema, count(*) AS n_rows, sum(extracted_think)::BIGINT AS extracted_think,
   sum(moved_reasoning)::BIGINT AS moved_reasoning, sum(dropped_think)::BIGINT AS dropped_think,
   count(*) FILTER (WHERE tools_present) AS tools_present,
   count(*) FILTER (WHERE tools_from_string) AS tools_from_string,
-  avg(tools_present::INT::DOUBLE) AS tools_share FROM report GROUP BY schema""",
+  avg(tools_present::INT::DOUBLE) AS tools_share FROM every GROUP BY schema""",
     "unknown_role_counts": _with(*_TURNS)
-    + """SELECT 'messages' AS schema, role, count(*) AS n_conversations FROM canon
+    + """SELECT 'messages' AS schema, role, count(DISTINCT conv_id) AS n_conversations FROM canon
 WHERE role NOT IN ('', 'system', 'user', 'assistant', 'tool', 'think') GROUP BY role""",
     "rendered": _with(*_TURNS, _pieces("conv_id"))
     + "SELECT conv_id, turn, piece AS rendered FROM pieces",
-    "rendered_tools": _with(*_PAIRS, _pieces(_PAIR_KEY), _EX_FIRST) + "SELECT * FROM joined",
+    "rendered_tools": _with(*_TURNS, _pieces("conv_id"), _EX_FIRST) + "SELECT * FROM joined",
     "token_counts": f"""SELECT conv_id, count(*) AS n_messages,
   sum(len({_toks(f"('<|im_start|>' || role || {_NL} || text || '<|im_end|>' || {_NL})")}))::BIGINT AS total_tokens
 FROM conversations GROUP BY conv_id""",
-    "exchange_token_counts": _with(*_PAIRS, _pieces(_PAIR_KEY), _EX_FIRST)
-    + f"SELECT conv_id, turn, len({_toks('rendered')})::BIGINT AS total_tokens FROM joined",
+    "exchange_token_counts": _with(*_TURNS, _pieces("conv_id"), _EX_FIRST)
+    + f"SELECT conv_id, len({_toks('rendered')})::BIGINT AS total_tokens FROM joined",
     "token_ids": f"""SELECT token, {_ID}::BIGINT AS token_id FROM (SELECT DISTINCT
   unnest({_toks(f"('<|im_start|>' || role || {_NL} || text || '<|im_end|>' || {_NL})")}) AS token
   FROM conversations)""",
@@ -398,25 +393,23 @@ FROM chosen h JOIN counted c ON c.conv_id = h.conv_id AND c.i = h.start""",
     "loss_answer_only": _loss("answer_only"),
     "loss_answer_plus_think": _loss("answer_plus_think"),
     "token_labels": _with(
-        *_PAIRS,
-        _pieces(_PAIR_KEY),
+        *_TURNS,
+        _pieces("conv_id"),
         """whole AS (SELECT * REPLACE (CASE WHEN i = 0 THEN first_piece ELSE piece END AS piece)
   FROM pieces)""",
-        _marked("whole", _PAIR_KEY, "answer_only"),
+        _marked("whole", "conv_id", "answer_only"),
     )
-    + """SELECT conv_id, q_turn AS turn, i AS message_index, role, place, token, in_loss FROM marked""",
+    + """SELECT conv_id, i AS message_index, role, place, token, in_loss FROM marked""",
     "samples": _with(*_TURNS, *_samples("conv_id", TURN_LIMIT)) + _SAMPLE_SELECT,
-    "exchange_samples": _with(*_PAIRS, *_samples(_PAIR_KEY, EXCHANGE_LIMIT))
-    + """SELECT conv_id, q_turn AS turn, input_ids, labels, n AS n_attended,
-  structured_length AS original_length, raw_length FROM cut JOIN lengths USING (conv_id, q_turn)""",
+    "exchange_samples": _with(*_TURNS, *_samples("conv_id", LIST_LIMIT)) + _SAMPLE_SELECT,
     "sample_stats": _with(*_TURNS, *_samples("conv_id", TURN_LIMIT))
     + """SELECT conv_id, n AS total_tokens, n_loss AS loss_tokens, n < raw_length AS was_truncated
 FROM cut JOIN lengths USING (conv_id)""",
-    "debug": _with(*_PAIRS, _REPORT, *_samples(_PAIR_KEY, EXCHANGE_LIMIT, filtered=False))
-    + """SELECT conv_id, q_turn AS turn, schema, tools_present, extracted_think, unknown_roles,
+    "debug": _with(*_TURNS, _REPORT, *_samples("conv_id", LIST_LIMIT, filtered=False))
+    + """SELECT conv_id, schema, tools_present, extracted_think, unknown_roles,
   raw_length, structured_length, n AS final_length, n_loss AS loss_tokens, final_text
-FROM report JOIN cut USING (conv_id, q_turn) JOIN lengths USING (conv_id, q_turn)
-ORDER BY conv_id, q_turn LIMIT 20""",
+FROM report JOIN cut USING (conv_id) JOIN lengths USING (conv_id)
+ORDER BY conv_id LIMIT 20""",
     "len_hist": _LENS + " SELECT len AS length, count(*) AS n_samples FROM lens GROUP BY len",
     "len_pct": _percentiles(_LENS, TURN_LIMIT),
     "utilisation": _LENS
@@ -437,8 +430,28 @@ SELECT bucket, n_samples, ratio, repeat('█', round_even(ratio * 20, 0)::INT)
     "raw_len": _with(*_PLAIN_FIT)
     + """SELECT max(structured_length) AS dataset_max, max(final_length) AS final_max,
   count(*) AS n_samples FROM lengths""",
-    "gen_prompts": _with(*_PAIRS, _pieces(_PAIR_KEY), _EX_FIRST)
-    + f"""SELECT conv_id, turn, rendered || '<|im_start|>assistant' || {_NL} || '<think>' || {_NL}
+    "advice": _LENS
+    + f""", shares AS (SELECT count(*) FILTER (WHERE len >= {TURN_LIMIT})::DOUBLE / count(*) AS at_max_share,
+  count(*) FILTER (WHERE len <= {TURN_LIMIT} * 0.25)::DOUBLE / count(*) AS short_share FROM lens HAVING count(*) > 0)
+SELECT *, CASE WHEN at_max_share > 0.30 THEN 'raise max_length or filter long samples'
+  WHEN short_share > 0.50 THEN 'lower max_length' ELSE 'keep max_length' END AS advice FROM shares""",
+    "role_totals": _with(*_TURNS, _pieces("conv_id"), _marked("pieces", "conv_id", "answer_only"))
+    + """SELECT role, count(DISTINCT (conv_id, turn)) AS n_messages, count(*) AS tokens,
+  count(*) FILTER (WHERE in_loss) AS loss_tokens FROM marked GROUP BY role""",
+    "tools_overhead": _with(*_TURNS, _pieces("conv_id"))
+    + f""", costs AS (SELECT conv_id,
+    sum(len({_toks("CASE WHEN i = 0 THEN first_piece ELSE piece END")})) AS total_tokens,
+    sum(len({_toks("CASE WHEN i = 0 THEN first_piece ELSE piece END")})) - sum(len({_toks('piece')})) AS cost
+  FROM pieces GROUP BY conv_id)
+SELECT cost > 0 AS tools_present, count(*) AS n_conversations, sum(cost)::BIGINT AS added_tokens,
+  avg(cost)::DOUBLE AS mean_added, max(cost)::BIGINT AS max_added,
+  avg((total_tokens >= {TURN_LIMIT})::INT)::DOUBLE AS at_max_share FROM costs GROUP BY 1""",
+    "token_freq": f"""WITH counted AS (SELECT token, count(*) AS n, {_ID} AS token_id FROM (SELECT
+  unnest({_toks(f"('<|im_start|>' || role || {_NL} || text || '<|im_end|>' || {_NL})")}) AS token
+  FROM conversations) GROUP BY token)
+SELECT *, count(*) OVER (PARTITION BY token_id) AS n_same_id FROM counted""",
+    "gen_prompts": _with(*_TURNS, _pieces("conv_id"), _EX_FIRST)
+    + f"""SELECT conv_id, rendered || '<|im_start|>assistant' || {_NL} || '<think>' || {_NL}
   || {_NL} || '</think>' || {_NL} || {_NL} AS generation_prompt FROM joined""",
     "text_prompts": f"""SELECT item_id, '<|im_start|>system' || {_NL} || '{DEFAULT_SYSTEM}'
   || '<|im_end|>' || {_NL} || '<|im_start|>user' || {_NL} || text || '<|im_end|>' || {_NL}

@@ -15,10 +15,10 @@ from . import external, inputs, prepare
 
 # Token budgets at which every truncation branch has rows.
 TURN_LIMIT = 512
-EXCHANGE_LIMIT = 256
+LIST_LIMIT = 256
 
 TURN_OPTIONS = PrepOptions(max_length=TURN_LIMIT)
-EXCHANGE_OPTIONS = PrepOptions(max_length=EXCHANGE_LIMIT)
+LIST_OPTIONS = PrepOptions(max_length=LIST_LIMIT)
 PAIR_KEYS = ("conv_id", "turn")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,14 +54,18 @@ def explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.detect_schema(inputs.mixed_rows(spark, sf_dir)).select(*PAIR_KEYS, "schema")
+    """Message lists, prompt/response rows, and rows that are neither."""
+    lists = inputs.message_lists(spark, sf_dir).withColumn("turn", _long(F.lit(0)))
+    given = (lists, inputs.reply_pairs(spark, sf_dir), inputs.shapeless_rows(spark, sf_dir))
+    found = [canonical.detect_schema(df).select(*PAIR_KEYS, "schema") for df in given]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = tables.read_pairs(
         inputs.reply_pairs(spark, sf_dir),
         "prompt",
-        {"response": "response", "completion": "completion"},
+        {c: c for c in ("response", "completion", "answer")},
         PAIR_KEYS,
     )
     rows = canonical.canonicalize(flat, keep=PAIR_KEYS)
@@ -111,8 +115,8 @@ def think_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tools_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.normalize_tools(inputs.exchanges(spark, sf_dir)).select(
-        *PAIR_KEYS, "tools", "tools_from_string"
+    return canonical.normalize_tools(inputs.message_lists(spark, sf_dir)).select(
+        "conv_id", "tools", "tools_from_string"
     )
 
 
@@ -133,14 +137,14 @@ def turn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.canonicalize(inputs.exchanges(spark, sf_dir), keep=PAIR_KEYS)
+def _reported(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
+    return canonical.canonicalize(inputs.message_lists(spark, sf_dir), PrepOptions(**settings))
 
 
 def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("report")
-    return _reported(spark, sf_dir).select(
-        *PAIR_KEYS,
+    return _reported(spark, sf_dir, think_mode="drop").select(
+        "conv_id",
         "schema",
         _long(r["extracted_think"]).alias("extracted_think"),
         _long(r["moved_reasoning"]).alias("moved_reasoning"),
@@ -152,14 +156,18 @@ def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.parse_report_summary(_reported(spark, sf_dir))
+    """Totals over message lists, prompt/response rows and rows that are neither."""
+    given = (
+        _reported(spark, sf_dir, think_mode="drop"),
+        canonical.canonicalize(inputs.reply_pairs(spark, sf_dir)),
+        canonical.canonicalize(inputs.shapeless_rows(spark, sf_dir)),
+    )
+    reports = [df.select("schema", "report") for df in given]
+    return canonical.parse_report_summary(reports[0].union(reports[1]).union(reports[2]))
 
 
 def unknown_role_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roles counted on one-message rows, so that every odd role shows up."""
-    one = F.array(F.struct("role", "content")).alias("messages")
-    rows = inputs.varied_turns(spark, sf_dir).select("conv_id", one)
-    return canonical.unknown_role_counts(canonical.canonicalize(rows))
+    return canonical.unknown_role_counts(_reported(spark, sf_dir))
 
 
 # --- rendering and tokens --------------------------------------------------
@@ -175,7 +183,7 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rendering.render_messages(_reported(spark, sf_dir)).select(*PAIR_KEYS, "rendered")
+    return rendering.render_messages(_reported(spark, sf_dir)).select("conv_id", "rendered")
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +196,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exchange_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendering.count_tokens(_reported(spark, sf_dir)).select(
-        *PAIR_KEYS, _long("total_tokens").alias("total_tokens")
+        "conv_id", _long("total_tokens").alias("total_tokens")
     )
 
 
@@ -284,12 +292,12 @@ def _loss(mode: str) -> Query:
 
 
 def token_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token rows of exchanges, tool schemas included."""
+    """Token rows of message lists, tool schemas included."""
     opts = PrepOptions(max_length=0, think_loss="answer_only")
     rows = prepare.fit(_reported(spark, sf_dir), opts)
-    long = masking.token_labels_long(rows.select(*PAIR_KEYS, "messages"), opts)
+    long = masking.token_labels_long(rows.select("conv_id", "messages"), opts)
     return long.select(
-        *PAIR_KEYS,
+        "conv_id",
         _long("message_index").alias("message_index"),
         "role",
         _long("place").alias("place"),
@@ -331,12 +339,12 @@ def truncate_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exchange_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare.prepare_samples(inputs.exchanges(spark, sf_dir), EXCHANGE_OPTIONS, PAIR_KEYS)
-    return _sample_rows(rows, *PAIR_KEYS)
+    rows = prepare.prepare_samples(inputs.message_lists(spark, sf_dir), LIST_OPTIONS)
+    return _sample_rows(rows, "conv_id")
 
 
 def external_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exchanges through the plug-in tokenizer path, with the built-in split in Python."""
+    """Message lists through the plug-in tokenizer path, with the built-in split in Python."""
     pattern = tok.TOKEN_PATTERN
 
     def make():
@@ -348,18 +356,15 @@ def external_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         def encode(text: str) -> tuple[list[int], list[tuple[int, int]]]:
             found = list(split.finditer(text))
-            ids = [int(hashlib.md5(m.group().encode()).hexdigest()[:7], 16) for m in found]
+            ids = [int(hashlib.md5(m.group().encode()).hexdigest()[:15], 16) for m in found]
             return ids, [m.span() for m in found]
 
         return encode
 
     rows = external.prepare_samples_with(
-        inputs.exchanges(spark, sf_dir),
-        ExternalTokenizer(make),
-        EXCHANGE_OPTIONS,
-        PAIR_KEYS,
+        inputs.message_lists(spark, sf_dir), ExternalTokenizer(make, atomic_markers=True), LIST_OPTIONS
     )
-    return _sample_rows(rows, *PAIR_KEYS)
+    return _sample_rows(rows, "conv_id")
 
 
 def sample_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,13 +378,10 @@ def sample_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def debug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 20 exchanges by key; the limit is the feature."""
-    one_key = F.struct("conv_id", "turn")
-    rows = inputs.exchanges(spark, sf_dir).withColumn("key", one_key).drop(*PAIR_KEYS)
-    shown = prepare.debug_samples(rows, EXCHANGE_OPTIONS, 20, "key")
+    """The first 20 conversations by key; the limit is the feature."""
+    shown = prepare.debug_samples(inputs.message_lists(spark, sf_dir), LIST_OPTIONS, 20)
     return shown.select(
-        "key.conv_id",
-        "key.turn",
+        "conv_id",
         "schema",
         "tools_present",
         _long("extracted_think").alias("extracted_think"),
@@ -423,13 +425,42 @@ def raw_len(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.raw_lengths(_lengths(spark, sf_dir))
 
 
+def advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.length_advice(_histogram(spark, sf_dir), TURN_LIMIT)
+
+
+def role_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and loss tokens by role, at turn grain."""
+    opts = PrepOptions(think_loss="answer_only")
+    rows = _rendered_turns(_turns(spark, sf_dir))
+    rows = rows.withColumn("tokens", tok.tokens(F.col("rendered")))
+    marked = rows.select("role", masking.mark_spans(F.struct("role", "tokens"), opts).alias("m"))
+    in_loss = F.size(F.filter(masking.marked_tokens(F.col("m"), opts), lambda t: t["in_loss"]))
+    return stats.role_totals(
+        marked.select("role", F.size("m.tokens").alias("n_tokens"), in_loss.alias("n_loss"))
+    )
+
+
+def tools_overhead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    costs = rendering.count_tokens(_reported(spark, sf_dir))
+    bare = rendering.count_tokens(costs.select("conv_id", "messages", F.lit(None).cast("string").alias("tools"), F.col("total_tokens").alias("whole")))
+    return stats.tools_overhead(
+        bare.select(F.col("whole").alias("total_tokens"), (F.col("whole") - F.col("total_tokens")).alias("tools_cost")), TURN_LIMIT
+    )
+
+
+def token_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = _rendered_turns(turn_ops.canonical_turns(inputs.conversations(spark, sf_dir)))
+    return stats.token_frequencies(pieces.select(F.explode(tok.tokens(F.col("rendered"))).alias("token")))
+
+
 # --- prompts ---------------------------------------------------------------
 
 
 def gen_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exchanges with tools, ready for the next reply without thinking."""
+    """Conversations with tools, ready for the next reply without thinking."""
     rows = rendering.generation_prompts(_reported(spark, sf_dir), thinking=False)
-    return rows.select(*PAIR_KEYS, "generation_prompt")
+    return rows.select("conv_id", "generation_prompt")
 
 
 def text_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -487,6 +518,10 @@ QUERIES: dict[str, Query] = {
     "utilisation": utilisation,
     "trunc_summary": trunc_summary,
     "raw_len": raw_len,
+    "advice": advice,
+    "role_totals": role_totals,
+    "tools_overhead": tools_overhead,
+    "token_freq": token_freq,
     "gen_prompts": gen_prompts,
     "text_prompts": text_prompts,
     "rendered_lengths": rendered_lengths,

@@ -57,5 +57,8 @@ def write_samples(df: DataFrame, path: str, shards: int | None = None, mode: str
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error") -> None:
-    """A report table as files; reports have a handful of rows."""
-    df.coalesce(1).write.mode(mode).format(fmt).save(path)
+    """A report table as one file; reports have a handful of rows.
+
+    Only the finished rows go to one task; what they are computed from stays spread out.
+    """
+    df.repartition(1).write.mode(mode).format(fmt).save(path)
