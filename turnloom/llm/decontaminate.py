@@ -1,7 +1,8 @@
 """Benchmark decontamination with DataFrame operations only.
 
 1. Screen: positions of documents whose shingle also occurs in a benchmark item. A
-   window without such a shingle has similarity 0, so nothing is lost.
+   window without such a shingle has similarity 0, so nothing is lost. A window is only
+   compared with items of its own length, so positions are listed for each length.
 2. Windows as long as an item, started at screened positions. A window that starts
    elsewhere can be moved to its next screened position without losing similarity.
    Windows with too few screened positions to reach the threshold are left out.
@@ -81,10 +82,9 @@ def leaks(
     document, and of an item id, give one row. NULL document ids are kept apart by text.
     """
     known = written(item_shingles(items, item_col, item_text_col).dropDuplicates(["item_id", "hashes"]))
-    vocabulary = known.select(F.explode("hashes").alias("h")).distinct()
+    vocabulary = known.select(F.explode("hashes").alias("h"), "size").distinct()
     if known.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] <= BROADCAST_SHINGLES:
         vocabulary = F.broadcast(vocabulary)
-    sizes = sorted(r["size"] for r in known.select("size").distinct().collect()) or [1]
 
     # Two hashes of the row name it, so that NULL ids and repeated ids need no special care.
     text = text_or_empty(text_col)
@@ -96,20 +96,19 @@ def leaks(
     )
     hashed = with_shingles(named, F.col("text"), SHINGLE_WORDS)
     screened = hashed.select("k1", "k2", F.posexplode("hashes").alias("pos", "h")).join(vocabulary, "h")
-    hits = screened.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("hits"))
-    suspects = named.join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    hits = screened.groupBy("k1", "k2", "size").agg(F.array_sort(F.collect_set("pos")).alias("hits"))
+    suspects = named.join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2", "size"])
     suspects = with_shingles(suspects, F.col("text"), SHINGLE_WORDS).drop("text")
 
-    def reachable(size: Column) -> Column:
-        """Whether a window of `size` items shingles from hit i holds enough screened positions."""
-        held = F.least(size, F.size("hashes") - F.col("start"))
-        need = F.ceil(F.lit(similarity) * (held + size) / (1 + similarity) - 1e-9).cast("int")
-        return F.coalesce(F.get("hits", F.col("i") + need - 1) < F.col("start") + size, F.lit(False))
-
+    size, start = F.col("size"), F.col("start")
+    held = F.least(size, F.size("hashes") - start)
+    # A window that reaches the threshold holds at least so many screened positions.
+    need = F.ceil(F.lit(similarity) * (held + size) / (1 + similarity) - 1e-9).cast("int")
     starts = suspects.select("*", F.posexplode("hits").alias("i", "start"))
-    windows = starts.select(
-        "k1", "k2", "id", "start", "hashes", F.explode(F.filter(F.lit(sizes), reachable)).alias("size")
-    ).select("k1", "k2", "id", "start", "size", F.slice("hashes", F.col("start") + 1, F.col("size")).alias("hashes"))
+    reachable = F.get("hits", F.col("i") + need - 1) < start + size
+    windows = starts.filter(reachable).select(
+        "k1", "k2", "id", "start", "size", F.slice("hashes", start + 1, size).alias("hashes")
+    )
     windows = written(windows)
 
     keys = ["k1", "k2", "start", "size"]
