@@ -64,8 +64,8 @@ def fit(messages, limit, tools=None, enc=encode):
     return kept
 
 
-def sample(messages, limit, tools=None, mode="all", side="left", roles=("assistant",), enc=encode, eos=EOS):
-    fitted = fit(messages, limit, tools, enc)
+def sample(messages, limit, tools=None, mode="all", side="left", roles=("assistant",), enc=encode, eos=EOS, fitted=None):
+    fitted = fit(messages, limit, tools, enc) if fitted is None else fitted
     text = render(fitted, tools)
     in_loss = [False] * len(text)
     upto = 0
@@ -111,5 +111,5 @@ def random_conversations(rng, n, max_turns=9, words=12):
             role = rng.choice(["user", "assistant", "assistant", "tool", "system"])
             reasoning = rng.choice([None, "", "  ", text(words * 3), text(words)])
             messages.append({"role": role, "content": text(words) + ".", "reasoning": reasoning})
-        rows.append((key, messages, rng.choice([None, '[{"name": "f"}]'])))
+        rows.append((key, messages, rng.choice([None, '[{"name":"f"}]'])))
     return rows

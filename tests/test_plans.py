@@ -36,17 +36,55 @@ def test_message_lists_need_no_shuffle_and_no_python(spark, rows, tmp_path):
     assert "Python" not in plan_of(samples)
 
 
-def test_turns_need_one_shuffle(spark, rows, tmp_path):
+def test_turn_plans_start_no_job_and_stay_in_the_jvm(spark, rows, tmp_path):
     path = str(tmp_path / "turns")
     turn_table(spark, rows).write.parquet(path)
     turns = spark.read.parquet(path)
-    assert exchanges(prepare.prepare_turn_samples(turns, PrepOptions(max_length=50), text="content")) == 1
+    spark.sparkContext.setJobGroup("building", "plans only")
+    samples = prepare.prepare_turn_samples(turns, PrepOptions(max_length=50), text="content")
+    prepare.prepare_turn_lengths(turns, PrepOptions(max_length=50), text="content")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    assert "Python" not in plan_of(samples)
     canonical = turn_ops.canonical_turns(turns, PrepOptions(), text="content")
     assert exchanges(canonical) == 0
     only_keys = turn_ops.conversation_totals(canonical).select("conv_id", "n_messages")
     assert "reasoning_content" not in plan_of(only_keys).split("ReadSchema")[-1]
 
 
+def test_key_filters_reach_the_scan(spark, rows, tmp_path):
+    lists, turns = str(tmp_path / "lists"), str(tmp_path / "turns")
+    list_table(spark, rows).write.parquet(lists)
+    turn_table(spark, rows).write.parquet(turns)
+    opts = PrepOptions(max_length=50)
+    for df in (
+        prepare.prepare_samples(spark.read.parquet(lists), opts),
+        prepare.prepare_turn_samples(spark.read.parquet(turns), opts, text="content"),
+    ):
+        assert "EqualTo(conv_id,3)" in plan_of(df.filter("conv_id = 3"))
+
+
+def test_parts_go_by_rank(spark):
+    for orders in ([1, 2, 3, 4], [1_700_000_000_000 + 977 * i for i in range(4)]):
+        turns = spark.createDataFrame([(7, o, "user", str(i)) for i, o in enumerate(orders)], "conv_id long, turn long, role string, text string")
+        parts = turn_ops.assemble_conversations(turns, max_turns=3).orderBy("part").collect()
+        assert [(r.part, [m.content for m in r.messages]) for r in parts] == [(0, ["0", "1", "2"]), (1, ["3"])]
+
+
+def test_a_missing_key_is_a_key(spark):
+    pieces = spark.createDataFrame([(None, 0, "ab"), (None, 1, "c"), (1, 0, "d")], "conv_id long, turn long, rendered string")
+    found = {(r.conv_id, r.turn): (r.span_start, r.span_end) for r in turn_ops.role_spans(pieces).collect()}
+    assert found == {(None, 0): (0, 2), (None, 1): (2, 3), (1, 0): (0, 1)}
+    assert turn_ops.token_offsets(pieces).count() == 3
+
+
+def test_tokens_stay_with_their_message(spark, rows, tmp_path):
+    path = str(tmp_path / "pieces")
+    turn_table(spark, rows).selectExpr("conv_id", "turn", "content AS rendered").write.parquet(path)
+    plan = plan_of(turn_ops.token_offsets(spark.read.parquet(path)))
+    above = plan.split("Generate")[0]
+    assert "Exchange" not in above
+
+
 def test_split_is_a_partition_filter(spark, tmp_path):
     path = str(tmp_path / "split")
     df = spark.createDataFrame([(1, "train"), (2, "test")], "conv_id long, split string")

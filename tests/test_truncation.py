@@ -11,6 +11,7 @@ import brute
 from turnloom import PrepOptions
 from turnloom.plans.external import prepare_samples_with
 from turnloom.functions.external_tokenizer import ExternalTokenizer
+from turnloom.operators import rendering, truncation
 from turnloom.plans import prepare
 from turnloom.sources import turns as turn_ops
 
@@ -86,35 +87,67 @@ def test_message_lists_match_the_rules(spark, settings):
 
 
 @pytest.mark.parametrize("settings", [SETTINGS[1], SETTINGS[2], SETTINGS[4]])
-def test_giant_conversations_match_the_rules(spark, settings, monkeypatch):
-    """With a tiny row bound nearly every conversation is thinned out before assembly."""
+@pytest.mark.parametrize("salts", [1, 3])
+def test_turn_tables_match_the_rules(spark, settings, salts, monkeypatch):
+    """Conversations longer than what can reach a sample, in few and in more sub-groups."""
     rows = brute.random_conversations(random.Random(5), 60, max_turns=70, words=4)
     opts = PrepOptions(extract_think_tags=False, **settings)
-    want = expected(rows, settings)
-    real = turn_ops.fitting_conversations
-    for keys in (100_000, 0):  # broadcast, then salted joins
-        monkeypatch.setattr(turn_ops, "BROADCAST_KEYS", keys)
-        monkeypatch.setattr(
-            prepare,
-            "fitting_conversations",
-            lambda turns, o, **c: real(turns, o, max_turns=10, **c),
-        )
-        df = prepare.prepare_turn_samples(turn_table(spark, rows), opts, text="content")
-        assert collected(df) == want
+    monkeypatch.setattr(turn_ops, "SALTS", salts)
+    df = prepare.prepare_turn_samples(turn_table(spark, rows), opts, text="content")
+    assert collected(df) == expected(rows, settings)
 
 
-def test_giants_without_an_assistant_are_cut_only(spark, monkeypatch):
-    rows = [(1, [{"role": "user", "content": f"w{i} x", "reasoning": None} for i in range(80)], None)]
-    real = turn_ops.fitting_conversations
-    monkeypatch.setattr(
-        prepare, "fitting_conversations", lambda t, o, **c: real(t, o, max_turns=10, **c)
-    )
+def test_turns_without_an_assistant_are_cut_only(spark):
+    rows = [(1, [{"role": "user", "content": f"w{i} x", "reasoning": None} for i in range(800)], None)]
     for side in ("left", "right"):
         opts = PrepOptions(max_length=30, truncate_side=side, drop_if_no_assistant=False)
         df = prepare.prepare_turn_samples(turn_table(spark, rows), opts, text="content")
         assert collected(df) == {1: brute.sample(rows[0][1], 30, side=side)}
 
 
+def huge(n, trailing):
+    """One conversation of n turns with reasoning, `trailing` of them after the last assistant."""
+    roles = ["system"] + ["user", "assistant"] * ((n - trailing) // 2)
+    roles += ["user"] * (n - len(roles))
+    return [
+        {"role": r, "content": f"c{i} .", "reasoning": "t " * (i % 40) if r == "assistant" else None}
+        for i, r in enumerate(roles)
+    ]
+
+
+@pytest.mark.parametrize("trailing", [3, 300])
+def test_one_rule_for_conversations_of_any_size(spark, trailing):
+    """Anchors, totals, dropped turns, kept turns and samples of more than 5,000 turns."""
+    messages, limit = huge(5201, trailing), 90
+    opts = PrepOptions(max_length=limit, extract_think_tags=False)
+    turns = turn_table(spark, [(1, messages, None)])
+    # Only the newest turns can fit; the plain rule would try every older start first.
+    fitted = brute.fit(messages[:1] + messages[-trailing - 60 :], limit)
+    last = max(i for i, m in enumerate(messages) if m["role"] == "assistant")
+    size = len(brute.encode(brute.render(messages))[0])
+
+    rows = prepare.turn_rows(turns, opts, text="content")
+    row = truncation.drop_middle(
+        truncation.truncation_anchors(rendering.tokenize_messages(rows)), limit
+    ).first()
+    assert row.messages[row.last_assistant].pos == last
+    assert row.messages[row.tail_start].pos == last - 1
+    assert (row.raw_total, row.over, row.dropped_turns) == (size, True, len(messages) - len(fitted))
+    assert len(row.messages) < 2000
+
+    kept = prepare.fitted_turns(turns, opts, text="content").orderBy("pos").collect()
+    assert [(r.role, r.content, r.reasoning_content) for r in kept] == [
+        (m["role"], m["content"], m["reasoning"]) for m in fitted
+    ]
+    assert "".join(r.rendered for r in kept) == brute.render(fitted)
+
+    trace = prepare.prepare_turn_lengths(turns, opts, text="content").first()
+    structured = len(brute.encode(brute.render(fitted))[0])
+    assert (trace.raw_length, trace.structured_length, trace.final_length) == (size, structured, min(structured, limit))
+    samples = prepare.prepare_turn_samples(turns, opts, text="content")
+    assert collected(samples) == {1: brute.sample(messages, limit, fitted=fitted)}
+
+
 def test_external_tokenizer_without_additive_counts(spark):
     """Pairs of characters as tokens: boundaries run across messages and tags."""
 
@@ -163,6 +196,51 @@ def test_external_subword_tokenizer(spark):
     assert collected(df) == expected(rows, settings, make(), None)
 
 
+@pytest.mark.parametrize("atomic", [True, False])
+def test_external_tokenizer_with_atomic_markers(spark, atomic):
+    """The built-in split as a plug-in, by sums and by whole candidates, with capped reasoning."""
+
+    pattern = brute.TOKEN_PATTERN
+
+    def make():
+        import hashlib
+
+        import regex
+
+        def encode(text):
+            found = list(regex.finditer(pattern, text))
+            return [int(hashlib.md5(m.group().encode()).hexdigest()[:15], 16) for m in found], [m.span() for m in found]
+
+        return encode
+
+    rows = brute.random_conversations(random.Random(21), 80)
+    for settings in ({"max_length": 60, "think_loss": "answer_only"}, {"max_length": 30, "truncate_side": "right"}):
+        opts = PrepOptions(extract_think_tags=False, **settings)
+        plug = ExternalTokenizer(make, eos_id=brute.EOS, atomic_markers=atomic)
+        df = prepare_samples_with(list_table(spark, rows), plug, opts)
+        assert collected(df) == expected(rows, settings)
+
+
+def test_external_cap(spark):
+    """Reasoning is cut to the tokenizer's first n tokens."""
+
+    def make():
+        return lambda text: ([ord(c) for c in text], [(i, i + 1) for i in range(len(text))])
+
+    def make_decode():
+        return lambda ids: "".join(map(chr, ids))
+
+    messages = [
+        {"role": "user", "content": "q", "reasoning": None},
+        {"role": "assistant", "content": "a", "reasoning": "thinking"},
+    ]
+    opts = PrepOptions(max_length=0, think_max_tokens=5, extract_think_tags=False)
+    df = prepare_samples_with(list_table(spark, [(1, messages, None)]), ExternalTokenizer(make, make_decode=make_decode), opts)
+    text = "".join(map(chr, df.first().input_ids))
+    messages[1]["reasoning"] = "think"
+    assert text == brute.render(messages)
+
+
 def test_sample_properties(spark):
     rows = brute.random_conversations(random.Random(2), 200)
     opts = PrepOptions(max_length=40)

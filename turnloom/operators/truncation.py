@@ -14,9 +14,10 @@ from ..functions.barrier import with_computed
 from ..functions.tokens import token_count, tokens
 from ..options import PrepOptions
 
-# Rows of giant conversations that were left out before assembly, as token sums.
+# What was left out before assembly: tokens, those after the last assistant, and middle turns.
 SKIPPED_TOTAL = "skipped_total"
 SKIPPED_TAIL = "skipped_tail"
+SKIPPED_MIDDLE = "skipped_middle"
 
 
 def _count(m: Column) -> Column:
@@ -78,13 +79,14 @@ def _kept_middle(middle: Column, head_lead: Column, budget: Column) -> Column:
 
 
 def drop_middle(df: DataFrame, limit: int) -> DataFrame:
-    """Add ``over`` and ``dropped``: how many of the oldest middle messages go.
+    """Add ``over``, ``dropped`` and ``dropped_turns``: how many of the oldest middle messages go.
 
-    Needs the anchors. A middle of which not even the last message fits is
+    ``dropped`` counts messages of the array, ``dropped_turns`` also those that were left
+    out before assembly. Needs the anchors. A middle of which not even the last message fits is
     dropped whole; whether the anchors alone fit is left to the next step.
     """
     messages, head, tail = F.col("messages"), F.col("head"), F.col("tail_start")
-    raw = total(messages) + _lead(F.get(messages, F.lit(0)))
+    raw = total(messages) + _lead(F.get(messages, F.lit(0))) + _skipped(df, SKIPPED_TOTAL)
     df = df.withColumn("raw_total", raw)
     df = df.withColumn("over", (F.col("raw_total") > limit) & tail.isNotNull())
 
@@ -101,6 +103,8 @@ def drop_middle(df: DataFrame, limit: int) -> DataFrame:
             "dropped": F.when(F.col("over"), tail - head - kept).otherwise(0),
             "anchor_total": F.col("anchor_plain") + first_lead,
         }
+    ).withColumn(
+        "dropped_turns", F.when(F.col("over"), F.col("dropped") + _skipped(df, SKIPPED_MIDDLE)).otherwise(0)
     ).drop("anchor_plain")
 
 
@@ -216,7 +220,7 @@ def truncate_messages(df: DataFrame, opts: PrepOptions = PrepOptions()) -> DataF
     )
     df = df.withColumns(
         {
-            "raw_length": F.col("raw_total") + _skipped(df, SKIPPED_TOTAL),
+            "raw_length": F.col("raw_total"),
             "fitted_by": F.when(shortened, "reasoning")
             .when(F.col("dropped") > 0, "middle")
             .otherwise("fits"),

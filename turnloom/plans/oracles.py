@@ -289,11 +289,12 @@ _EX_FIRST = f"""joined AS (
   FROM pieces GROUP BY conv_id)"""
 
 ORACLES: dict[str, str] = {
-    "assemble": f"""SELECT conv_id, turn // 4096 AS part, count(*) AS n_messages,
+    "assemble": f"""SELECT conv_id, rank // 4096 AS part, count(*) AS n_messages,
   string_agg(role || ': ' || text, {_NL} ORDER BY turn) AS messages_text
-FROM conversations GROUP BY 1, 2""",
-    "explode": """SELECT conv_id, turn // 4096 AS part,
-  row_number() OVER (PARTITION BY conv_id, turn // 4096 ORDER BY turn) - 1 AS position,
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS rank FROM conversations)
+GROUP BY 1, 2""",
+    "explode": """SELECT conv_id,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,
   role, text AS content FROM conversations""",
     "detect_schema": """SELECT conv_id, 0::BIGINT AS turn, 'messages' AS schema
 FROM (SELECT DISTINCT conv_id FROM conversations)

@@ -48,8 +48,9 @@ def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = turn_ops.assemble_conversations(inputs.conversations(spark, sf_dir))
+    place = F.col("part") * turn_ops.MAX_TURNS_PER_ROW + F.col("position")
     return rendering.explode_messages(rows).select(
-        "conv_id", "part", _long("position").alias("position"), "message.role", "message.content"
+        "conv_id", place.alias("position"), "message.role", "message.content"
     )
 
 
@@ -245,19 +246,19 @@ def drop_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id",
         _long("raw_total").alias("raw_total"),
         "over",
-        _long("dropped").alias("dropped"),
+        _long("dropped_turns").alias("dropped"),
         first_kept["pos"].alias("first_kept_turn"),
     )
 
 
 def halve_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasoning of every kept message after fitting."""
-    fitted = prepare.fit(_fitting(spark, sf_dir), TURN_OPTIONS)
-    return rendering.explode_messages(fitted).select(
+    rows = prepare.fitted_turns(inputs.varied_turns(spark, sf_dir), TURN_OPTIONS, text="content")
+    return rows.select(
         "conv_id",
-        F.col("message.pos").alias("turn"),
-        F.col("message.reasoning_content").alias("reasoning_content"),
-        _long(F.size("message.tokens")).alias("n_tokens"),
+        F.col("pos").alias("turn"),
+        "reasoning_content",
+        _long(tok.token_count(F.col("rendered"))).alias("n_tokens"),
     )
 
 

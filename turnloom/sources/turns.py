@@ -6,7 +6,9 @@ aggregations (combined before the shuffle), running sums go over blocks of
 turns, and a conversation becomes one array row only with a bounded number of
 turns.
 
-The order column is an integer that is unique within its conversation.
+The order column is an integer that is unique within its conversation. Running sums
+spread a conversation over blocks of order values, so it should count turns rather than
+time where a single conversation may be huge.
 """
 
 from __future__ import annotations
@@ -16,19 +18,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..functions import message as msg
 from ..functions.tokens import token_count, tokens
 from ..operators.tools import resolve_tools_column
-from ..operators.truncation import SKIPPED_TAIL, SKIPPED_TOTAL
+from ..operators.truncation import SKIPPED_MIDDLE, SKIPPED_TAIL, SKIPPED_TOTAL
 from ..options import PrepOptions
 
-# Conversations up to this many turns are collected as they are.
+# Turns to a row of assembled conversations; longer ones continue in further rows.
 MAX_TURNS_PER_ROW = 4096
 # Fewest tokens a rendered message can have: two markers and two line ends.
 MIN_TOKENS_PER_MESSAGE = 4
 # Turns per block of a running sum.
 BLOCK_TURNS = 65536
-# Sub-groups per conversation when ranking or joining the turns of giant ones.
-SALTS = 64
-# Giant conversations up to this many are few enough to broadcast their keys.
-BROADCAST_KEYS = 100_000
+# Sub-groups of each conversation when its turns are joined and ranked.
+SALTS = 16
 
 HAS_LOSS_ROLE = "has_loss_role"
 
@@ -52,14 +52,16 @@ def assemble_conversations(
 ) -> DataFrame:
     """``key, part, messages``: turns in order, at most ``max_turns`` to a row.
 
-    Ordinary conversations have the single part 0. Longer ones continue in
-    parts 1, 2, ..., so nothing is cut off and no group grows without bound.
+    Parts go by rank: turns 0 to ``max_turns - 1`` of a conversation are part 0, the next
+    ones part 1, and so on, whatever the values of ``order``. Nothing is cut off and
+    no group grows without bound.
     """
-    part = F.floor(F.col(order) / max_turns).cast("long").alias("part")
     turn = F.struct(
         F.col(order).alias("pos"), F.col(role).alias("role"), F.col(text).alias("content")
     )
-    grouped = turns.select(key, part, turn.alias("m")).groupBy(key, "part")
+    ranked = running_total(turns.select(key, order, role, text), key, order, F.lit(1), "rank")
+    part = F.floor(F.col("rank") / max_turns).cast("long").alias("part")
+    grouped = ranked.select(key, part, turn.alias("m")).groupBy(key, "part")
     messages = F.array_sort(F.collect_list("m"))
     return grouped.agg(
         F.transform(messages, lambda m: m.dropFields("pos")).alias("messages")
@@ -99,49 +101,62 @@ def canonical_turns(
 
 
 def running_total(
-    df: DataFrame, key: str, order: str, value: Column, name: str, block: int = BLOCK_TURNS
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: Column,
+    name: str,
+    block: int = BLOCK_TURNS,
+    keep: bool = False,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the earlier rows of the same key.
+    """Add the sum of ``value`` over the earlier rows of the same key; NULL is a key as well.
 
     Rows are summed per block first; a running sum over the few block totals
-    gives each block its start, and windows only ever span one block.
+    gives each block its start, and windows only ever span one block. ``keep`` leaves the
+    columns ``_group`` and ``_block``, by which the result is partitioned.
     """
-    df = df.withColumns({"_value": value, "_block": F.floor(F.col(order) / block)})
-    totals = df.groupBy(key, "_block").agg(F.sum("_value").alias("_block_total"))
-    before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # A struct compares equal where its field is NULL, unlike the bare key.
+    group = {"_group": F.struct(key), "_block": F.floor(F.col(order) / block)}
+    df = df.withColumns({"_value": value, **group})
+    totals = df.groupBy("_group", "_block").agg(F.sum("_value").alias("_block_total"))
+    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        key, "_block", F.coalesce(F.sum("_block_total").over(before), F.lit(0)).alias("_start")
+        "_group", "_block", F.coalesce(F.sum("_block_total").over(before), F.lit(0)).alias("_start")
     )
+    # The key itself, too, so that filters on it move below the window.
     inside = (
-        Window.partitionBy(key, "_block")
+        Window.partitionBy(key, "_group", "_block")
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        df.join(starts, [key, "_block"])
+    summed = (
+        df.join(starts, ["_group", "_block"])
         .withColumn(name, F.col("_start") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .drop("_value", "_block", "_start")
+        .drop("_value", "_start")
     )
+    return summed if keep else summed.drop("_group", "_block")
 
 
 def role_spans(
-    pieces: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "rendered"
+    pieces: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "rendered", keep: bool = False
 ) -> DataFrame:
     """Add ``span_start`` and ``span_end``: each message's characters in the whole text."""
-    spans = running_total(pieces, key, order, F.length(text).cast("long"), "span_start")
+    spans = running_total(pieces, key, order, F.length(text).cast("long"), "span_start", keep=keep)
     return spans.withColumn("span_end", F.col("span_start") + F.length(text))
 
 
 def token_offsets(
     pieces: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "rendered"
 ) -> DataFrame:
-    """One row per token with its ``[start, end)`` characters in the whole text."""
-    spans = role_spans(pieces, key, order, text).withColumn("_block", F.floor(F.col(order) / BLOCK_TURNS))
-    listed = spans.select(
-        key, "_block", order, "span_start", F.posexplode(tokens(F.col(text))).alias("place", "token")
+    """One row per token with its ``[start, end)`` characters in the whole text.
+
+    Tokens stay in the partition of their message.
+    """
+    listed = role_spans(pieces, key, order, text, keep=True).select(
+        key, "_group", "_block", order, "span_start", F.posexplode(tokens(F.col(text))).alias("place", "token")
     )
     inside = (
-        Window.partitionBy(key, "_block", order)
+        Window.partitionBy(key, "_group", "_block", order)
         .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -178,96 +193,35 @@ def unknown_role_turns(turns: DataFrame, opts: PrepOptions, key: str = "conv_id"
     )
 
 
-def _join_conversations(
-    turns: DataFrame, small: DataFrame, key: str, how: str, few: bool
-) -> DataFrame:
-    """Join turns to one row per giant conversation without gathering a hot key.
-
-    A few rows are broadcast. Beyond that the turns of a conversation are spread
-    over salts and the small side is repeated for each of them.
-    """
-    if few:
-        return turns.join(F.broadcast(small), key, how)
-    salted = turns.withColumn("_salt", F.pmod(F.hash("pos"), F.lit(SALTS)))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return salted.join(small.withColumn("_salt", salts), [key, "_salt"], how).drop("_salt")
-
-
-def _collected(turns: DataFrame, opts: PrepOptions, key: str, *more: Column) -> DataFrame:
-    message = F.struct(*ROW_FIELDS)
-    return turns.groupBy(key).agg(
-        F.array_sort(F.collect_list(message)).alias("messages"),
-        F.min_by("tools", "pos").alias("tools"),
-        F.max(F.col("role").isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
-        *more,
-    )
-
-
-def _may_survive(turns: DataFrame, opts: PrepOptions, key: str) -> DataFrame:
-    """Of giant conversations, the turns that can reach the sample.
+def _placed(turns: DataFrame, opts: PrepOptions, key: str) -> DataFrame:
+    """Turns with ``trails`` (after the last assistant) and ``stays``: whether they can reach a sample.
 
     Every message has at least four tokens. So of the turns up to the last
     assistant only the last ``limit / 4 + 3`` can fit, and of the turns after
     it, when there are more than that, only those next to the kept side outlive
-    the token cut. The first message always stays, as it may be the head.
-    ``row_number`` limits are applied before the shuffle as well as after it.
+    the token cut. The first message always stays, as it may be the head. Turns are
+    ranked in sub-groups, so at most that many stay in each of these.
     """
     most = opts.limit // MIN_TOKENS_PER_MESSAGE + 3
     pos = F.col("pos")
-    from_end = F.lit(opts.truncate_side == "left") | ~F.col("trails")
-    ranked = turns.withColumns(
-        {
-            "nearness": F.when(from_end, -pos).otherwise(pos),
-            "salt": F.pmod(F.hash(pos), F.lit(SALTS)),
-        }
-    )
-    is_first = pos == F.col("first_pos")
-    salted = Window.partitionBy(key, "trails", "salt").orderBy("nearness")
-    whole = Window.partitionBy(key, "trails").orderBy("nearness")
-    nearest = (
-        ranked.filter(~is_first)
-        .withColumn("rank", F.row_number().over(salted))
-        .filter(F.col("rank") <= most)
-        .withColumn("rank", F.row_number().over(whole))
-        .filter(F.col("rank") <= most)
-    )
-    return ranked.filter(is_first).unionByName(nearest.drop("rank")).drop("salt", "nearness")
-
-
-def _thinned_conversations(
-    turns: DataFrame, opts: PrepOptions, key: str, few: bool
-) -> DataFrame:
-    """Array rows of giant conversations, with the token sums of what was left out."""
-    pos, role = F.col("pos"), F.col("role")
     ends = turns.groupBy(key).agg(
         F.min(pos).alias("first_pos"),
-        F.max(F.when(role == "assistant", pos)).alias("last_pos"),
+        F.max(F.when(F.col("role") == "assistant", pos)).alias("last_pos"),
     )
-    placed = (
-        _join_conversations(turns, ends, key, "inner", few)
-        .withColumn("trails", F.coalesce(pos > F.col("last_pos"), F.lit(True)))
-        .withColumn("n", token_count(msg.render(message_columns())).cast("long"))
+    salted = turns.withColumns({"_group": F.struct(key), "_salt": F.pmod(F.hash(pos), F.lit(SALTS))})
+    sides = ends.select(
+        F.struct(key).alias("_group"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+        "first_pos",
+        "last_pos",
     )
-    tail_tokens = F.sum(F.when(F.col("trails"), F.col("n")).otherwise(0))
-    totals = placed.groupBy(key).agg(
-        F.sum("n").alias("all_total"),
-        tail_tokens.alias("all_tail"),
-        F.max(role.isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
+    placed = salted.join(sides, ["_group", "_salt"]).withColumn(
+        "trails", F.coalesce(pos > F.col("last_pos"), F.lit(True))
     )
-    rows = _collected(
-        _may_survive(placed, opts, key),
-        opts,
-        key,
-        F.sum("n").alias("kept_total"),
-        tail_tokens.alias("kept_tail"),
-    ).drop(HAS_LOSS_ROLE)
-    return rows.join(totals, key).select(
-        key,
-        "messages",
-        "tools",
-        HAS_LOSS_ROLE,
-        (F.col("all_total") - F.col("kept_total")).alias(SKIPPED_TOTAL),
-        (F.col("all_tail") - F.col("kept_tail")).alias(SKIPPED_TAIL),
+    from_end = F.lit(opts.truncate_side == "left") | ~F.col("trails")
+    nearest = Window.partitionBy(key, "_group", "_salt", "trails").orderBy(F.when(from_end, -pos).otherwise(pos))
+    return placed.withColumn("_rank", F.row_number().over(nearest)).withColumn(
+        "stays", (pos == F.col("first_pos")) | (F.col("_rank") <= most)
     )
 
 
@@ -277,32 +231,29 @@ def fitting_conversations(
     key: str = "conv_id",
     order: str = "turn",
     text: str = "text",
-    max_turns: int = MAX_TURNS_PER_ROW,
 ) -> DataFrame:
     """One array row per conversation of a turn table, ready for truncation.
 
-    Conversations with more than ``max_turns`` turns are looked up first, from
-    the key column alone. They are thinned out to the turns that truncation
-    could keep; the token sums of the others travel along, so every length
-    stays exact. Without such conversations, and they are rare, the plan is one
-    shuffle. With truncation off a sample holds the whole conversation, and so
-    does its row.
+    One rule for conversations of any size: a row gathers the turns that truncation
+    could keep, and of the others their token sums and their number, so every length
+    and count stays exact. With truncation off a sample holds the whole conversation, and
+    so does its row; lengths alone come from ``conversation_totals`` without assembly.
     """
     canonical = canonical_turns(turns, opts, key, order, text)
     kept = canonical.filter(~F.col("is_dropped")).drop("is_dropped")
-    none = F.lit(0).cast("long")
-    skipped = {SKIPPED_TOTAL: none, SKIPPED_TAIL: none}
     if not opts.limit:
-        return _collected(kept, opts, key).withColumns(skipped)
-    giants = turns.groupBy(key).count().filter(F.col("count") > max_turns).select(key)
-    n_giants = giants.limit(BROADCAST_KEYS + 1).count()
-    if n_giants == 0:
-        return _collected(kept, opts, key).withColumns(skipped)
-    few = n_giants <= BROADCAST_KEYS
-    ordinary = _join_conversations(kept, giants, key, "left_anti", few)
-    giant = _join_conversations(kept, giants, key, "left_semi", few)
-    return (
-        _collected(ordinary, opts, key)
-        .withColumns(skipped)
-        .unionByName(_thinned_conversations(giant, opts, key, few))
+        placed = kept.withColumns({"stays": F.lit(True), "trails": F.lit(False)})
+    else:
+        placed = _placed(kept, opts, key)
+    left_out, trails = ~F.col("stays"), F.col("trails")
+    # Only turns that are left out are counted here; the others are tokenised later.
+    n = F.when(left_out, token_count(msg.render(message_columns())).cast("long")).otherwise(0)
+    sized = placed.withColumn("_n", n)
+    return sized.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("stays"), F.struct(*ROW_FIELDS)))).alias("messages"),
+        F.min_by("tools", "pos").alias("tools"),
+        F.max(F.col("role").isin(opts.loss_roles)).alias(HAS_LOSS_ROLE),
+        F.sum("_n").alias(SKIPPED_TOTAL),
+        F.sum(F.when(trails, F.col("_n")).otherwise(0)).alias(SKIPPED_TAIL),
+        F.count_if(left_out & ~trails).alias(SKIPPED_MIDDLE),
     )
