@@ -10,6 +10,7 @@ from turnloom.functions.text import strip
 from turnloom.functions.tokens import tokens
 from turnloom.operators import canonical, rendering
 from turnloom.operators.tools import normalize_tools
+from turnloom.plans.prepare import debug_samples
 
 FULL = "conv_id long, messages array<struct<role string, content string, reasoning_content string, thinking string>>"
 
@@ -166,3 +167,29 @@ def test_prompts_and_explode(spark):
     empty = canonical.canonicalize(df)
     assert rendering.render_messages(empty).first().rendered == ""
     assert rendering.explode_messages(empty).first().position is None
+
+
+def test_tool_calls_stand_before_the_end_marker(spark):
+    schema = "conv_id long, messages array<struct<role string, content string, tool_calls string>>"
+    df = spark.createDataFrame([(1, [("assistant", "a", '[{"id":1}]'), ("user", "b", None)])], schema)
+    assert rendering.render_messages(canonical.canonicalize(df)).first().rendered == (
+        '<|im_start|>assistant\na\n<tool_call>\n[{"id":1}]\n</tool_call><|im_end|>\n<|im_start|>user\nb<|im_end|>\n'
+    )
+
+
+def test_replies_that_count_as_false_fall_through(spark):
+    rows = [(1, 0, False, "x"), (2, 5, False, "x"), (3, None, True, "x"), (4, None, None, None)]
+    df = spark.createDataFrame(rows, "prompt long, response long, completion boolean, answer string")
+    flat = canonical.canonicalize(df, keep=("prompt",)).orderBy("prompt").collect()
+    assert [r.messages[1].content for r in flat] == ["x", "5", "true", ""]
+
+
+def test_debug_counts_nothing_for_rows_without_messages(spark):
+    df = spark.createDataFrame([(1, [], "[]")], FULL + ", tools string")
+    row = debug_samples(df, PrepOptions(max_length=40)).first()
+    assert (row.raw_length, row.structured_length, row.final_length, row.final_text) == (0, 0, 0, "")
+
+
+def test_reasoning_field_falls_back_when_empty(spark):
+    found, _ = messages_of(spark, [("assistant", "a", None, " t ")], reasoning_field="")
+    assert found == [("assistant", "a", "t")]
