@@ -57,14 +57,14 @@ def byte_symbols() -> list[str]:
     return names
 
 
-def latin_pattern() -> re.Pattern:
-    """SPLIT spelled out for texts of code points below 256, for the faster standard engine."""
+def latin_pattern(split: str = SPLIT) -> re.Pattern:
+    """A split rule spelled out for texts of code points below 256, for the faster standard engine."""
     members = {"L": "", "N": "", "s": ""}
     for char in map(chr, range(256)):
         kind = "s" if regex.match(r"\s", char) else unicodedata.category(char)[0]
         if kind in members:
             members[kind] += f"\\x{ord(char):02x}"
-    spelled = SPLIT.replace(r"[^\s\p{L}\p{N}]", f"[^{''.join(members.values())}]")
+    spelled = split.replace(r"[^\s\p{L}\p{N}]", f"[^{''.join(members.values())}]")
     spelled = spelled.replace(r"\p{L}", f"[{members['L']}]").replace(r"\p{N}", f"[{members['N']}]")
     return re.compile(spelled.replace(r"\S", f"[^{members['s']}]").replace(r"\s", f"[{members['s']}]"))
 

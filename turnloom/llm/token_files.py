@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bpe import latin_pattern
 from .common import col, text_or_empty
 
 # Bits between two stored counts of ones.
@@ -27,8 +28,8 @@ BLOCK = 512
 SHARD_IDS = 1 << 23
 MEMO_PIECES = 400_000
 NEW_PIECES = 20_000
-# White space for str.split, but not for the vocabulary's pattern.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
+# Fixed value: how the word vocabulary splits lower-case text before merging.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
 class WaveletMatrix:
@@ -146,8 +147,10 @@ def matrix_of(n: int, zeros: list[int], planes: list[bytes], ranks: list[bytes])
 class WordEncoder:
     """Texts to ids by the tokenizers library, asking it once for each distinct piece.
 
-    Pieces end at white space, which the vocabulary's pre-tokenizer drops and no
-    token crosses; texts with other separators go to the library whole.
+    Lower-case texts of code points below 256 are cut where the vocabulary's own
+    pre-tokenizer cuts them; no token crosses a cut, so pieces repeat and are remembered.
+    Unknown pieces are encoded many to a call; the tokens that end a piece tell them
+    apart. All other texts, and those with added tokens, go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -156,26 +159,46 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self.bits = max(1, (self._tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self.bits = max(1, max(vocabulary.values()).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
+        self._find = latin_pattern(WORD_SPLIT).findall
         self._memo: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def _learn(self, pieces: list[str]) -> None:
+        for begin in range(0, len(pieces), NEW_PIECES):
+            part = pieces[begin : begin + NEW_PIECES]
+            ids = np.frombuffer(self._library([" ".join(part)])[0], self.kind)
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw, size = ids.tobytes(), ids.itemsize
+                cuts = [0, *(ends * size).tolist()]
+                self._memo.update((piece, raw[a:b]) for piece, a, b in zip(part, cuts, cuts[1:]))
+            else:
+                self._memo.update(zip(part, self._library(part)))
+
     def __call__(self, text: str) -> np.ndarray:
-        if any(s in text for s in SEPARATORS):
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return np.frombuffer(self._library([text])[0], self.kind)
+        if any(name in text for name in self._added):
             return np.frombuffer(self._library([text])[0], self.kind)
-        words = text.split()
-        unknown = list(set(words).difference(self._memo))
+        pieces = self._find(text.lower())
+        unknown = set(pieces).difference(self._memo)
         if len(self._memo) + len(unknown) > MEMO_PIECES:
             self._memo.clear()
-            unknown = list(set(words))
-        for begin in range(0, len(unknown), NEW_PIECES):
-            part = unknown[begin : begin + NEW_PIECES]
-            self._memo.update(zip(part, self._library(part)))
-        return np.frombuffer(b"".join(map(self._memo.__getitem__, words)), self.kind)
+            unknown = set(pieces)
+        if unknown:
+            self._learn(list(unknown))
+        return np.frombuffer(b"".join(map(self._memo.__getitem__, pieces)), self.kind)
 
 
 @lru_cache(maxsize=2)
