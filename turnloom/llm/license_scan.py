@@ -41,7 +41,8 @@ TEMPLATES = {
     "MIT-name": "Released under the MIT License.",
     "BSD": """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met""",
-    "GPL-3.0": "under the terms of the GNU General Public License, version 3.",
+    "GPL-3.0": "licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-terms": "under the terms of the GNU General Public License, version 3.",
     "GPL": """This program is free software: you can redistribute it and/or modify it under the terms of the
         GNU General Public License as published by the Free Software Foundation""",
     "LGPL": """under the terms of the GNU Lesser General Public License as published by the Free Software
