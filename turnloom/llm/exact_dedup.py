@@ -142,26 +142,28 @@ def _merge(index: CuckooIndex, key: bytes, keep, row: int, size: int) -> None:
     index.insert(key, (kept, kept_row, count + size))
 
 
-def _indexed(schema: pa.Schema, whole: bool, smallest: int):
-    """Fold rows (key, keep, row, size) through an index, per batch or per partition."""
+def _indexed(whole: bool, smallest: int):
+    """Fold rows (key, keep, keep_row, size) through an index, per batch or per partition."""
 
-    def flush(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
+    def flush(index: CuckooIndex, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         entries = [(k, *v) for k, v in index.items() if v[2] >= smallest]
         for begin in range(0, len(entries), 20_000):
             columns = zip(*entries[begin : begin + 20_000])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
+                [pa.array(c, f.type) for c, f in zip(columns, schema)], names=schema.names
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = CuckooIndex()
+        index, schema = CuckooIndex(), None
         for batch in batches:
+            schema = batch.schema
             for entry in zip(*(c.to_pylist() for c in batch.columns)):
                 _merge(index, *entry)
             if not whole and len(index) > 20_000:
-                yield from flush(index)
+                yield from flush(index, schema)
                 index = CuckooIndex()
-        yield from flush(index)
+        if schema is not None:
+            yield from flush(index, schema)
 
     return run
 
@@ -187,21 +189,11 @@ def exact_dedup(
             F.struct(F.lit(0).alias("_"), *[col(c) for c in carry]).alias("row"),
         )
     )
-    schema = rows.select(
+    entries = rows.select(
         "key", F.col("id").alias("keep"), F.col("number").alias("keep_row"), F.lit(1).cast("long").alias("size")
     )
-    arrow = pa.schema(
-        [
-            ("key", pa.binary()),
-            ("keep", _arrow_type(rows.schema["id"].dataType)),
-            ("keep_row", pa.int64()),
-            ("size", pa.int64()),
-        ]
-    )
-    partial = schema.mapInArrow(_indexed(arrow, whole=False, smallest=1), schema.schema)
-    groups = partial.repartition("key").mapInArrow(
-        _indexed(arrow, whole=True, smallest=2), schema.schema
-    )
+    partial = entries.mapInArrow(_indexed(whole=False, smallest=1), entries.schema)
+    groups = partial.repartition("key").mapInArrow(_indexed(whole=True, smallest=2), entries.schema)
     return rows.join(groups, "key", "left").select(
         "id",
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep_id"),
@@ -212,12 +204,6 @@ def exact_dedup(
     )
 
 
-def _arrow_type(kind):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 def keep_one_of_equal_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with their columns."""
     rows = exact_dedup(docs, id_col, text_col, carry=docs.columns)

@@ -30,7 +30,6 @@ BITS = 64
 HASH_SEED = 42
 CHUNK = 1 << 14
 FRONTIER = 1 << 18
-TEXT_BYTES = 1 << 23
 
 
 def fingerprint(text: str, shingle_words: int) -> int:
