@@ -125,7 +125,8 @@ def leaks(
         ).alias("key"),
     )
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
-    candidates = probes.join(listed, ["size", "key"]).filter(close).select(*keys, "item_id").distinct()
+    # The entries are many times the size that Spark expects of them, so they are never broadcast.
+    candidates = probes.join(listed.hint("merge"), ["size", "key"]).filter(close).select(*keys, "item_id").distinct()
 
     window_counts = windows.select(*keys, F.explode("hashes").alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
     item_counts = known.select("item_id", "size", F.explode("hashes").alias("h")).groupBy("item_id", "size", "h").agg(
