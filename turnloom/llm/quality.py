@@ -29,7 +29,7 @@ DIMENSIONS = 32
 NONZERO = 4
 WINDOW = 2
 ROWS_PER_CHUNK = 512
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 20
 MEMO_WORDS = 300_000
 # At most so many labelled documents are used for fitting; all of them up to there.
 FIT_ROWS = 20_000
