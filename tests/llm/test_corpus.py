@@ -425,3 +425,25 @@ def test_personal_data(spark, empty):
     votes = np.array([[2, 2, 2, 2, 0], [1, 1, 0, 1, 1], [2, 1, 0, 2, 0]])
     posterior, share, _ = personal_data.reliabilities(votes, np.array([60.0, 30.0, 10.0]))
     assert posterior[0] > 0.9 > 0.1 > posterior[1] and 0 < share < 1
+
+
+@pytest.mark.parametrize("address", ["jo.doe (at) host.com", "jo.doe [at] host.com", "jo at host.com", "jo@host dot com", "jo AT host Dot com"])
+def test_loose_addresses_do_not_depend_on_the_rest(address):
+    for text in (address, f"see {address} or so", f"{address} and c@d too", f"{address} , the dot"):
+        start = text.index(address)
+        assert (0, start, start + len(address)) in personal_data.candidates(text, personal_data.base_spans(text))
+
+
+def test_candidates_match_brute_force():
+    rng = random.Random(12)
+    parts = ["at", "dot", "@", ".", " ", " ", "(", ")", "[", "jo", "x-y", "_", "com", "+1 499 5556503", "4111 1111 1111 1111", "10.0.0.1", "a@b.c", "AT", "Dot", "\u017f"]
+    for _ in range(4_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+        base = personal_data.base_spans(text)
+        want, taken = list(base), [s[1:] for s in base]
+        for kind, name in enumerate(personal_data.KINDS):
+            for m in personal_data.LOOSE[name].finditer(text):
+                if not any(x < m.end() and m.start() < y for x, y in taken):
+                    want.append((kind, *m.span()))
+                    taken.append(m.span())
+        assert personal_data.candidates(text, base) == want

@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +43,17 @@ LOOSE = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ .\-\t/]{1,2}[0-9]{4}){3}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+.])(?:00[1-9][0-9 ().-]{6,20}[0-9]|\(?0?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,5})(?![0-9])"),
 }
-# What must occur in a text for a loose form to be tried.
-LOOSE_NEEDS = {"email": re.compile(r"@|\bdot\b", re.IGNORECASE), "ip": re.compile(":[0-9A-Fa-f]{1,4}:"), "card": None, "phone": None}
+# The email form where no character of a name stands before it.
+LOOSE_EMAIL_FIRST = re.compile(r"(?<![A-Za-z0-9._%+-])" + LOOSE["email"].pattern, re.IGNORECASE)
+# What must occur in a text for a loose form to be tried: a part of every match of the form.
+LOOSE_NEEDS = {
+    "email": re.compile(
+        r"(?:@|\bat\b) ?[\])}>]? ?[A-Za-z0-9-]+ ?[\[({<]? ?(?:\.|\bdot\b) ?[\])}>]? ?[A-Za-z0-9-]", re.IGNORECASE
+    ),
+    "ip": re.compile(":[0-9A-Fa-f]{1,4}:"),
+    "card": None,
+    "phone": None,
+}
 # Gazetteers: words that stand before such data, and endings of mail hosts.
 CONTEXT = {
     "email": frozenset("email e-mail mail contact write correo courriel adresse address".split()),
@@ -91,19 +101,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _loose_matches(name: str, text: str) -> Iterator[re.Match]:
+    """Like finditer. What matches an email from inside a run of name characters matches from
+    the run's start too, so runs are tried once each: from there, or behind the match before."""
+    if name != "email":
+        yield from LOOSE[name].finditer(text)
+        return
+    at = 0
+    while m := LOOSE[name].match(text, at) or LOOSE_EMAIL_FIRST.search(text, at):
+        yield m
+        at = m.end()
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Base spans first, then loose matches that overlap no span before them."""
     found = list(base)
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[tuple[int, int]] = []  # in order, without overlaps
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
     for kind, name in enumerate(KINDS):
         need = LOOSE_NEEDS[name]
         if need is not None and not need.search(text):
             continue
-        for m in LOOSE[name].finditer(text):
+        for m in _loose_matches(name, text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
+            at = bisect_left(taken, (b,))  # all before start ahead of b, the last of them ends last
+            if not at or taken[at - 1][1] <= a:
                 found.append((kind, a, b))
-                taken.append((a, b))
+                taken.insert(at, (a, b))
     return found
 
 
