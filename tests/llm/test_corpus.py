@@ -388,6 +388,18 @@ def test_lm_base_scores(docs, empty):
     assert lm_score.language_model_scores(empty).count() == 0
 
 
+def test_lm_shows_every_training_document_once(docs, monkeypatch):
+    shown, average = Counter(), lm_score._averaged
+
+    def counted(encoded, *args):
+        shown.update(r.id for r in encoded.select("id").collect())
+        return average(encoded, *args)
+
+    monkeypatch.setattr(lm_score, "_averaged", counted)
+    found = lm_score.language_model_scores(docs, block_bytes=4_000).collect()
+    assert shown == Counter(r.id for r in found if not r.held_out)
+
+
 def test_quality_separates_held_out_rows(spark, empty):
     rng = random.Random(8)
     rows = [(i, prose(rng, 40) if i % 2 else " ".join(f"zz{rng.randrange(9)}!!" for _ in range(40))) for i in range(400)]

@@ -67,7 +67,7 @@ def initial(shape: Shape, counts: np.ndarray, seed: int = 11) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
 
 
 def _step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
@@ -78,9 +78,19 @@ def _step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
     return n + z * (h - n), z, r, u, n
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Changes x in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _log_softmax_at(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one column of each row; changes x."""
+    x -= x.max(axis=1, keepdims=True)
+    at = x[np.arange(len(x)), chosen]
+    return at - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -93,12 +103,11 @@ def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def log_likelihood(p: dict[str, np.ndarray], shape: Shape, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each target after its state."""
     classes = shape.class_of()[targets]
-    out = _log_softmax(h @ p["classes"] + p["class_bias"])[np.arange(len(targets)), classes]
+    out = _log_softmax_at(h @ p["classes"] + p["class_bias"], classes)
     for c, rows in _by_class(classes):
         begin, end = shape.class_starts[c], shape.class_ends[c]
         if end - begin > 1:
-            within = _log_softmax(h[rows] @ p["words"][begin:end].T + p["word_bias"][begin:end])
-            out[rows] += within[np.arange(len(rows)), targets[rows] - begin]
+            out[rows] += _log_softmax_at(h[rows] @ p["words"][begin:end].T + p["word_bias"][begin:end], targets[rows] - begin)
     return out
 
 
@@ -165,19 +174,23 @@ def train(
     start: int,
     rate: float = 0.004,
     window: int = 16,
-    parallel: int = 96,
-    least_updates: int = 150,
+    parallel: int = 384,
+    least_updates: int = 75,
 ) -> np.ndarray:
     """Parameters after passes over the texts by truncated backpropagation and Adam.
 
-    One pass, or as many as give `least_updates`.
+    One pass, or as many as give `least_updates`. There are up to `parallel` streams, but
+    no more than leave a pass of `least_updates`, down to a quarter of them; `rate` is for
+    that quarter and grows with the root of the number.
     """
     vector = vector.copy()
     p = unpack(vector, shape)
     slope = np.zeros_like(vector)
     g = unpack(slope, shape)
     first_moment, second_moment = np.zeros_like(vector), np.zeros_like(vector)
-    inputs, targets, begins = streams(texts, start, parallel)
+    tokens = sum(map(len, texts))
+    inputs, targets, begins = streams(texts, start, min(parallel, max(parallel // 4, tokens // (window * least_updates))))
+    rate *= max(1.0, len(inputs) / (parallel / 4)) ** 0.5
     updates = 0
     classes_of = shape.class_of()
     windows = -(-inputs.shape[1] // window)
@@ -201,7 +214,7 @@ def train(
             ys = targets[rows, at : at + steps].T.ravel()
             classes = classes_of[ys]
             share = np.float32(1 / len(ys))
-            back = np.exp(_log_softmax(hs @ p["classes"] + p["class_bias"]))
+            back = _softmax(hs @ p["classes"] + p["class_bias"])
             back[np.arange(len(ys)), classes] -= 1
             back *= share
             g["classes"] += hs.T @ back
@@ -211,13 +224,14 @@ def train(
                 begin, end = shape.class_starts[c], shape.class_ends[c]
                 if end - begin < 2:
                     continue
-                within = np.exp(_log_softmax(hs[chosen] @ p["words"][begin:end].T + p["word_bias"][begin:end]))
+                within = _softmax(hs[chosen] @ p["words"][begin:end].T + p["word_bias"][begin:end])
                 within[np.arange(len(chosen)), ys[chosen] - begin] -= 1
                 within *= share
                 g["words"][begin:end] += within.T @ hs[chosen]
                 g["word_bias"][begin:end] += within.sum(0)
                 to_state[chosen] += within @ p["words"][begin:end]
             from_next = np.zeros((len(rows), HIDDEN), np.float32)
+            to_input = np.empty((steps, len(rows), 3 * HIDDEN), np.float32)
             for t in range(steps - 1, -1, -1):
                 before, z, r, u, n, keep, _ = kept[t]
                 dh = to_state[t * len(rows) : (t + 1) * len(rows)] + from_next
@@ -228,11 +242,19 @@ def train(
                 gates = np.hstack([dz, dr])
                 g["gates"] += before.T @ gates
                 g["state"] += before.T @ du
-                np.add.at(g["input"], inputs[rows, at + t], np.hstack([gates, dn]))
+                to_input[t, :, : 2 * HIDDEN], to_input[t, :, 2 * HIDDEN :] = gates, dn
                 from_next = (dh * z + gates @ p["gates"].T + du @ p["state"].T) * keep
+            given = inputs[rows, at : at + steps].T.ravel()
+            order = np.argsort(given, kind="stable")
+            symbols, firsts = np.unique(given[order], return_index=True)
+            g["input"][symbols] = np.add.reduceat(to_input.reshape(len(given), -1)[order], firsts)
             np.clip(slope, -0.05, 0.05, out=slope)
             updates += 1
-            first_moment += 0.1 * (slope - first_moment)
-            second_moment += 0.01 * (slope * slope - second_moment)
-            vector -= rate * (first_moment / (1 - 0.9**updates)) / (np.sqrt(second_moment / (1 - 0.99**updates)) + 1e-6)
+            first_moment += np.float32(0.1) * (slope - first_moment)
+            slope *= slope
+            second_moment += np.float32(0.01) * (slope - second_moment)
+            size = np.sqrt(second_moment)
+            size *= np.float32((1 - 0.99**updates) ** -0.5)
+            size += np.float32(1e-6)
+            vector -= np.float32(rate / (1 - 0.9**updates)) * first_moment / size
     return vector

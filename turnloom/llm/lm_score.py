@@ -7,8 +7,8 @@
 3. The most frequent words are symbols of a recurrent model; each other word is
    one of a fixed number of tail symbols. A word's probability is that of its symbol
    times, in the tail, the word's own share from the corpus counts.
-4. Replicas of the model train on a fixed share of the training documents, one for each
-   partition, and their parameters are averaged after every round.
+4. Replicas of the model train, one for each partition, and their parameters are averaged
+   after every round. Each round has its own training documents; together they have all.
 5. One narrow pass scores all documents.
 """
 
@@ -31,10 +31,10 @@ HEAD_WORDS = 2_000
 HEAD_CLASSES = 32
 TAIL_SYMBOLS = 32
 BLOCK_BYTES = 12 << 20
-# One training document in so many shows itself to the recurrent model in each round;
-# counts are taken over all of them.
-TRAIN_ONE_IN = 16
-ROUNDS = 2
+# Each training document is shown in one of so many rounds.
+ROUNDS = 4
+# A replica trains on so many tokens at once (or one longer text), which bounds its memory.
+TRAIN_TOKENS = 1 << 20
 VALUES_PER_ROW = 4_096
 END = b""
 
@@ -162,15 +162,26 @@ def _encoded(parts: DataFrame, words: DataFrame, total: float, known: int, tails
     return documents.groupBy("block").cogroup(words.groupBy("of_block")).applyInPandas(score, schema)
 
 
+def _round(id_col: str) -> Column:
+    """The round in which a training document is shown."""
+    return F.pmod(F.xxhash64(id_col), F.lit(ROUNDS))
+
+
 def _averaged(encoded: DataFrame, vector: np.ndarray, shape: gru.Shape, start: int) -> np.ndarray:
     """Train one replica for each partition and average them, weighted by their tokens."""
 
     def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [np.frombuffer(s.as_py(), np.uint16).astype(np.int64) for b in batches for s in b.column("symbols")]
-        if not texts:
+        now, weight, texts, held = vector, 0.0, [], 0
+        for symbols in (s for b in batches for s in b.column("symbols")):
+            texts.append(np.frombuffer(symbols.as_py(), np.uint16).astype(np.int64))
+            held += len(texts[-1])
+            if held >= TRAIN_TOKENS:
+                now, weight, texts, held = gru.train(now, shape, texts, start), weight + held, [], 0
+        if texts:
+            now, weight = gru.train(now, shape, texts, start), weight + held
+        if not weight:
             return
-        weight = float(sum(map(len, texts)))
-        trained = gru.train(vector, shape, texts, start).astype(np.float64) * weight
+        trained = now.astype(np.float64) * weight
         for row, begin in enumerate(range(0, len(trained), VALUES_PER_ROW)):
             part = trained[begin : begin + VALUES_PER_ROW].tobytes()
             yield pa.RecordBatch.from_pydict(
@@ -236,7 +247,7 @@ def language_model_scores(
     start = head.get(END, len(head))
     vector = gru.initial(shape, np.concatenate([frequency, tails[:, 0]]))
     for turn in range(ROUNDS):
-        shown = encoded.filter(~F.col("held_out") & (F.pmod(F.xxhash64("id"), F.lit(TRAIN_ONE_IN)) == turn))
+        shown = encoded.filter(~F.col("held_out") & (_round("id") == turn))
         vector = _averaged(shown, vector, shape, start)
 
     source = encoded.select("id", "held_out", "n_tokens", "n_known", "base_score", "tail_score", "symbols")
