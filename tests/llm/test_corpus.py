@@ -292,6 +292,17 @@ def test_leaks_match_brute_force(spark):
     assert decontaminate.leaks(docs, table.limit(0)).count() == 0
 
 
+def test_leaks_of_long_items_and_of_texts_with_one_id(spark):
+    rng = random.Random(5)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    long, one, two = words(33_000), words(30), words(30)
+    items = spark.createDataFrame([(0, " ".join(long)), (1, " ".join(one)), (1, " ".join(two))], "item_id long, text string")
+    docs = [(0, long[:26_460]), (1, words(9) + one), (2, two + words(9)), (3, one + two)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    found = {(r.id, r.item_id): r.similarity for r in decontaminate.leaks(docs, items).collect()}
+    assert found == {(0, 0): pytest.approx(26_456 / 32_996), (1, 1): 1.0, (2, 1): 1.0, (3, 1): 1.0}
+
+
 def test_license_scan(spark):
     known = license_scan.TEMPLATES
     filler = " ".join(f"w{i}" for i in range(200))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, text_or_empty, written
-from .shingles import MAX_SHINGLES, bit_counts, majority, with_shingles
+from .shingles import bit_counts, majority, with_shingles
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -53,13 +53,15 @@ def _fingerprinted(rows: DataFrame, keys: list[str], hashes: str) -> DataFrame:
 
 
 def item_shingles(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(item_id, size, hashes) of items with at least SHINGLE_WORDS words."""
+    """(item_id, item_key, size, hashes) of items with at least SHINGLE_WORDS words; item_key
+    tells the texts of one item id apart."""
     texts = items.select(col(item_col).alias("item_id"), text_or_empty(text_col).alias("text"))
     return (
         with_shingles(texts, F.col("text"), SHINGLE_WORDS)
         .drop("text")
         .withColumn("size", F.size("hashes"))
-        .filter(F.col("item_id").isNotNull() & F.col("size").between(1, MAX_SHINGLES))
+        .withColumn("item_key", F.xxhash64("hashes"))
+        .filter(F.col("item_id").isNotNull() & (F.col("size") > 0))
     )
 
 
@@ -79,7 +81,7 @@ def leaks(
     Texts are compared as lower-case words without punctuation; NULL counts as empty.
     Items of fewer than five words identify nothing and match nothing; so do NULL item
     ids. Of windows with equal similarity the first is given. Repeated rows of a
-    document, and of an item id, give one row. NULL document ids are kept apart by text.
+    document give one row; so do the texts of one item id, each searched on its own. NULL document ids are kept apart by text.
     """
     known = written(item_shingles(items, item_col, item_text_col).dropDuplicates(["item_id", "hashes"]))
     vocabulary = known.select(F.explode("hashes").alias("h"), "size").distinct()
@@ -113,7 +115,7 @@ def leaks(
 
     keys = ["k1", "k2", "start", "size"]
     near = _near_masks(radius // BLOCKS)
-    fps = _fingerprinted(known, ["item_id", "size"], "hashes").select("item_id", "size", F.col("fp").alias("item_fp"))
+    fps = _fingerprinted(known, ["item_id", "item_key", "size"], "hashes").select("item_id", "item_key", "size", F.col("fp").alias("item_fp"))
     listed = fps.select(
         "*", F.explode(F.flatten(F.array(*[_entries(F.col("item_fp"), i, near) for i in range(BLOCKS)]))).alias("key")
     )
@@ -126,16 +128,16 @@ def leaks(
     )
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
     # The entries are many times the size that Spark expects of them, so they are never broadcast.
-    candidates = probes.join(listed.hint("merge"), ["size", "key"]).filter(close).select(*keys, "item_id").distinct()
+    candidates = probes.join(listed.hint("merge"), ["size", "key"]).filter(close).select(*keys, "item_id", "item_key").distinct()
 
     window_counts = windows.select(*keys, F.explode("hashes").alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
-    item_counts = known.select("item_id", "size", F.explode("hashes").alias("h")).groupBy("item_id", "size", "h").agg(
+    item_counts = known.select("item_id", "item_key", "size", F.explode("hashes").alias("h")).groupBy("item_id", "item_key", "size", "h").agg(
         F.count("*").alias("ic")
     )
     shared = (
         candidates.join(window_counts, keys)
-        .join(item_counts, ["item_id", "size", "h"])
-        .groupBy(*keys, "item_id")
+        .join(item_counts, ["item_id", "item_key", "size", "h"])
+        .groupBy(*keys, "item_id", "item_key")
         .agg(F.sum(F.least("c", "ic")).alias("shared"))
     )
     held = windows.select(*keys, "id", F.size("hashes").alias("held"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import computed
 
-# One long holds four counters of 15 bits; sixteen longs hold those of 64 bits.
-LANES = 4
-LANE_BITS = 15
+# One long holds two counters of 31 bits, more than an array can have entries.
+LANES = 2
+LANE_BITS = 31
 MAX_SHINGLES = (1 << LANE_BITS) - 1
 
 
