@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, exact_dedup, license_scan, lm_score, personal_data, quality, simhash_dedup, token_files
+from . import (
+    bpe,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    lm_score,
+    periodic_runs,
+    personal_data,
+    quality,
+    shingle_join,
+    simhash_dedup,
+    token_files,
+    vector_codes,
+)
 from .common import scratch_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +125,41 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("entries", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0"))
+    return vector_codes.with_label_errors(codes).select(
+        F.col("id").alias("vec_id"),
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), with_repeats=True)
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    best = F.col("strongest")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shingle_join.similar_components(table(spark, sf_dir, "documents"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lm_score": op2_lm_score,
@@ -123,9 +172,78 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_shingle_join": op13_shingle_join,
 }
 
+def _vector_codes_sql(rounds: int = 4, entries: int = 256) -> str:
+    """All distances in every round, one pair of tables a round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+            FROM (SELECT p.vec_id, p.part, b.entry, list_sum(list_transform(range(1, len(p.v) + 1),
+                         lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS d
+                  FROM parts p JOIN b{r} b ON p.part = b.part)
+            GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""
+        b{r + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+            FROM b{r} b LEFT JOIN (
+                SELECT part, entry, list(mean ORDER BY place) AS v
+                FROM (SELECT p.part, a.entry, u.place, floor(sum(p.v[u.place])::DOUBLE / count(*))::BIGINT AS mean
+                      FROM parts p JOIN a{r} a USING (vec_id, part), unnest(range(1, len(p.v) + 1)) u(place)
+                      GROUP BY ALL)
+                GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+        ), parts AS MATERIALIZED (
+            SELECT vec_id, q.part, v[1 + q.part * (len(v) // 4) : (q.part + 1) * (len(v) // 4)] AS v
+            FROM kept, range(4) q(part)
+        ), b0 AS MATERIALIZED (
+            SELECT p.part, f.entry, p.v
+            FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept
+                  ORDER BY vec_id LIMIT {entries}) f JOIN parts p USING (vec_id)
+        ), {",".join(steps)}, coded AS (
+            SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+            FROM a{rounds} GROUP BY vec_id
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM b{rounds})
+                   AS codebooks_sha256
+        FROM coded JOIN kept USING (vec_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": _vector_codes_sql(),
+    "op13_shingle_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'),
+                       lambda w: w <> '') AS words
+            FROM documents
+        ), shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS s
+            FROM worded, unnest(range(1, greatest(len(words) - 4, 1) + 1)) t(i) WHERE len(words) > 0
+        ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS MATERIALIZED (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+                              FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+            JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+            WHERE 100 * common >= 80 * (sa.n + sb.n - common)
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+        FROM (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) LEFT JOIN sizes USING (doc_id)""",
     "op5_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
