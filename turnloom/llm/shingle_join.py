@@ -38,8 +38,10 @@ SHINGLE_WORDS = 5
 PER_CENT = 80
 # Extra prefix, in per cent of a set; it decides how much a set must share to be a candidate.
 EXTRA = 10
-# Shingles in a block; a tile has two blocks at most.
-BLOCK = 1 << 20
+# Shingles in a block; a tile has two blocks at most. A set counts as SMALLEST shingles at least,
+# which bounds the sets of a block as well.
+BLOCK = 1 << 22
+SMALLEST = 128
 BATCH_BYTES = 4 << 20
 WORD_CACHE = 1 << 20
 SEED = 13
@@ -55,6 +57,9 @@ class WordHashes(dict):
         return value
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     """Every bit of the result depends on every bit of the input."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -72,8 +77,8 @@ def shingle_set(text: str, size: int, known: WordHashes) -> np.ndarray:
     span = min(size, n)
     out = np.full(n - span + 1, span, np.uint64)
     for k in range(span):
-        out = _spread(out + hashed[k : n - span + 1 + k])
-    return np.unique(out)
+        out = out * _STEP + hashed[k : n - span + 1 + k]
+    return np.unique(_spread(out))
 
 
 def least_common(n: int, per_cent: int) -> int:
@@ -202,9 +207,10 @@ def candidate_clusters(docs: DataFrame, sets: DataFrame, text_col: str, size: in
 
 
 def arrays(docs: DataFrame, text_keys: DataFrame, text_col: str, size: int) -> DataFrame:
-    """(key, n, hashes) of the sets of the named texts, once each."""
+    """(key, hashes) of the sets of the named texts, once each."""
     source = docs.select(text_or_empty(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    named = source.join(text_keys, "text_key", "left_semi").select("text")
+    # The list of texts grows with the corpus: a merge join at every size, which splits hot texts.
+    named = source.join(text_keys.hint("merge"), "text_key", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -214,18 +220,16 @@ def arrays(docs: DataFrame, text_keys: DataFrame, text_col: str, size: int) -> D
                 key = _key(s)
                 if key not in seen:
                     seen.add(key)
-                    rows.append((key, len(s), s.tobytes()))
+                    rows.append((key, s.tobytes()))
             if len(seen) > 1 << 18:
                 seen.clear()
             if rows:
-                keys, n, held = zip(*rows)
+                keys, held = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(held, pa.binary())],
-                    names=["key", "n", "hashes"],
+                    [pa.array(keys, pa.int64()), pa.array(held, pa.binary())], names=["key", "hashes"]
                 )
 
-    found = named.mapInArrow(run, "key long, n long, hashes binary")
-    return written(found.dropDuplicates(["key"]))
+    return named.mapInArrow(run, "key long, hashes binary").dropDuplicates(["key"])
 
 
 def banded(sets: DataFrame, per_cent: int, block: int) -> DataFrame:
@@ -237,7 +241,7 @@ def banded(sets: DataFrame, per_cent: int, block: int) -> DataFrame:
     # Sizes on the border of two bands may fall to either side; a link spans less than two bands.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / per_cent)) + 1e-9).cast("int")
     placed = sets.withColumn("band", band)
-    sums = placed.groupBy("cluster", "band").agg(F.sum("n").alias("mass"))
+    sums = placed.groupBy("cluster", "band").agg(F.sum(F.greatest("n", F.lit(SMALLEST))).alias("mass"))
     blocks = sums.select("cluster", "band", F.ceil(F.col("mass") / block).cast("int").alias("blocks"))
     whole = sums.groupBy("cluster").agg((F.sum("mass") <= block).alias("small"))
     above = blocks.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
@@ -376,26 +380,29 @@ def links_in_tiles(tiles: DataFrame, per_cent: int) -> DataFrame:
 
 
 def _labelled(sets: DataFrame, root_of: DataFrame) -> DataFrame:
-    """Sets whose label is the root of their component over all links so far."""
+    """Sets whose label is its root."""
     root = root_of.select(F.col("node").alias("label"), "root")
     return sets.join(root, "label", "left").withColumn("label", F.coalesce("root", "label")).drop("root")
 
 
-def set_links(sets: DataFrame, per_cent: int, block: int) -> DataFrame:
-    """(node, root) over links between all sets (cluster, key, n, hashes) of the same cluster."""
-    placed = banded(sets.withColumn("label", F.col("key")), per_cent, block)
-    found = written(links_in_tiles(own_tiles(placed), per_cent))
-    root_of = components(found)
-    if not placed.filter("not small").limit(1).count():
-        return root_of
-    # One set for each component and block size: mostly enough to join the blocks of a large group.
-    large = _labelled(placed.filter("not small"), root_of)
+def set_labels(sets: DataFrame, per_cent: int, block: int) -> DataFrame:
+    """(key, label): the component of each set over all links between sets of the same cluster.
+
+    `sets` holds key, n, cluster, hashes and the columns of `banded`.
+    """
+    own = F.col("key").alias("label")
+    root_of = components(written(links_in_tiles(own_tiles(sets.select("*", own)), per_cent)))
+    labels = _labelled(sets.select("key", own), root_of)
+    if not sets.filter("not small").limit(1).count():
+        return labels
+    large = written(_labelled(sets.filter("not small").select("*", own), root_of))
+    # One set for each component: mostly enough to join the blocks of a large group.
     heads = large.groupBy("cluster", "label").agg(F.min(F.struct("n", "key")).alias("m")).select("m.key")
     few = large.join(heads, "key", "left_semi").select("cluster", "key", "n", "hashes", "label")
-    found = found.union(written(links_in_tiles(own_tiles(banded(few, per_cent, block)), per_cent)))
-    root_of = components(found)
-    large = written(_labelled(placed.filter("not small"), root_of))
-    return components(found.union(written(links_in_tiles(cross_tiles(large), per_cent))))
+    root_of = components(written(links_in_tiles(own_tiles(banded(few, per_cent, block)), per_cent)))
+    labels, large = _labelled(labels, root_of), _labelled(large, root_of)
+    root_of = components(written(links_in_tiles(cross_tiles(large), per_cent)))
+    return _labelled(labels, root_of)
 
 
 def similar_components(
@@ -422,10 +429,10 @@ def similar_components(
         )
     )
     clusters = candidate_clusters(docs, sets, text_col, shingle_words, per_cent)
-    wanted = sets.join(clusters, "key", "left_semi").select("text_key")
-    held = arrays(docs, wanted, text_col, shingle_words).join(clusters, "key")
-    root_of = set_links(held, per_cent, block)
-    rooted = sets.join(root_of.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    placed = written(banded(sets.select("key", "n", "text_key").join(clusters, "key"), per_cent, block))
+    hashes = arrays(docs, placed.select("text_key"), text_col, shingle_words)
+    labels = set_labels(written(hashes.join(placed.drop("text_key"), "key")), per_cent, block)
+    rooted = sets.join(labels, "key", "left").withColumn("root", F.coalesce("label", "key")).drop("label")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("copies").alias("members"))
     named = written(
         rooted.join(least.filter("members > 1"), "root").select("key", "component_id", F.lit(True).alias("joined"))
