@@ -9,7 +9,7 @@ from __future__ import annotations
 from ..functions.tokens import TOKEN_PATTERN
 from ..operators.rendering import DEFAULT_SYSTEM
 from .inputs import VARIED_TURNS_SQL
-from .queries import LIST_LIMIT, TURN_LIMIT
+from .queries import HISTORY_BUDGET, LIST_LIMIT, TURN_LIMIT
 
 _WS = "(' ' || chr(9) || chr(10) || chr(13))"
 _THINK = r"(?s)<think>\s*(.*?)\s*</think>\s*"
@@ -288,6 +288,26 @@ _EX_FIRST = f"""joined AS (
     string_agg(CASE WHEN i = 0 THEN first_piece ELSE piece END, '' ORDER BY i) AS rendered
   FROM pieces GROUP BY conv_id)"""
 
+_HEAD = f"""('<|im_start|>system' || {_NL} || '{DEFAULT_SYSTEM}' || '<|im_end|>' || {_NL})"""
+_SAID = f"CASE WHEN role IN ('user', 'assistant') THEN {_trim('content')} ELSE content END"
+_HISTORY = (
+    f"""said AS (SELECT * REPLACE ({_SAID} AS content) FROM canon WHERE NOT is_dropped),
+history AS (SELECT conv_id, turn, role, {_render('r')} AS piece FROM said
+  WHERE NOT (role = 'user' AND content = '')),
+placed AS (SELECT *, len({_toks('piece')}) AS n, sum(len({_toks('piece')})) OVER
+    (PARTITION BY conv_id ORDER BY turn) AS until FROM history),
+heads AS (SELECT conv_id, CASE WHEN min_by(role, turn) = 'system' THEN min(turn) END AS head_turn,
+    CASE WHEN min_by(role, turn) = 'system' THEN min_by(piece, turn) ELSE {_HEAD} END AS head
+  FROM placed GROUP BY conv_id),
+later AS (SELECT p.*, head, len({_toks('head')}) + 3 AS fixed FROM placed p JOIN heads USING (conv_id)
+  WHERE head_turn IS NULL OR turn <> head_turn),
+ranges AS (SELECT u.conv_id, u.turn, min(c.turn) AS first_turn
+  FROM later u JOIN later c ON u.conv_id = c.conv_id AND c.turn <= u.turn
+  WHERE u.role = 'user' AND (c.turn = u.turn OR u.until - c.until + c.n + u.fixed <= {HISTORY_BUDGET})
+  GROUP BY ALL)""",
+)
+
+
 ORACLES: dict[str, str] = {
     "assemble": f"""SELECT conv_id, rank // 4096 AS part, count(*) AS n_messages,
   string_agg(role || ': ' || text, {_NL} ORDER BY turn) AS messages_text
@@ -376,6 +396,16 @@ JOIN counted l ON l.conv_id = h.conv_id AND l.i = h.last""",
     "drop_middle": _with(*_FIT)
     + """SELECT h.conv_id, h.raw AS raw_total, h.over, (h.start - h.head)::BIGINT AS dropped,
   c.turn AS first_kept_turn
+FROM chosen h JOIN counted c ON c.conv_id = h.conv_id AND c.i = h.start""",
+    "history_prompts": _with(*_TURNS, *_HISTORY)
+    + """SELECT conv_id, r.turn, r.first_turn, count(*) AS n_turns,
+  (sum(n) + any_value(fixed))::BIGINT AS n_tokens,
+  any_value(head) || string_agg(piece, '' ORDER BY l.turn) || '<|im_start|>assistant' || chr(10) AS prompt
+FROM ranges r JOIN later l USING (conv_id) WHERE l.turn BETWEEN r.first_turn AND r.turn
+GROUP BY conv_id, r.turn, r.first_turn""",
+    "turn_cuts": _with(*_FIT)
+    + """SELECT h.conv_id, h.raw AS raw_total, h.over, (h.start - h.head)::BIGINT AS dropped,
+  c.turn AS first_kept_turn
 FROM chosen h JOIN counted c ON c.conv_id = h.conv_id AND c.i = h.start""",
     "halve_reasoning": _with(*_FIT)
     + f"""SELECT conv_id, turn, r AS reasoning_content,

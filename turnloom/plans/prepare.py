@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions import message as msg
 from ..functions.tokens import attention_mask
-from ..operators import canonical, masking, rendering, truncation
+from ..operators import canonical, masking, rendering, truncation, turn_truncation
 from ..options import PrepOptions
-from ..sources import turns as turn_ops
 from ..sources.turns import HAS_LOSS_ROLE, fitting_conversations
 
 SAMPLE_COLUMNS = ("input_ids", "attention_mask", "labels", "original_length", "raw_length")
@@ -50,43 +48,10 @@ def fitted_turns(
 ) -> DataFrame:
     """Every turn that truncation by whole messages keeps: ``key``, ``pos``, fields, ``rendered``.
 
-    What to keep is decided once for each conversation and joined to its turns, so long
-    runs of turns after the last assistant are listed in full.
+    Decided from prefix sums, without an array per conversation, so long runs of turns after
+    the last assistant are listed in full.
     """
-    rows = rendering.tokenize_messages(turn_rows(turns, opts, key=key, order=order, text=text))
-    if opts.limit:
-        rows = truncation.drop_middle(truncation.truncation_anchors(rows), opts.limit)
-        rows = truncation.halve_reasoning(rows, opts.limit)
-    else:
-        none = F.lit(None).cast("struct<chars:int>")
-        rows = truncation.truncation_anchors(rows).withColumns({"dropped": F.lit(0), "first_cut": none, "last_cut": none})
-
-    def place(i) -> Column:
-        return F.get("messages", i)["pos"]
-
-    first_kept = place(F.col("head") + F.col("dropped"))
-    chosen = rows.select(
-        F.struct(key).alias("_group"),
-        F.col("tools").alias("_tools"),
-        F.when(F.col("head") == 1, place(F.lit(0))).alias("_head"),
-        first_kept.alias("_from"),
-        place(F.col("tail_start")).alias("_one"),
-        F.col("first_cut.chars").alias("_one_chars"),
-        place(F.col("tail_start") + 1).alias("_two"),
-        F.col("last_cut.chars").alias("_two_chars"),
-    )
-    canonical = turn_ops.canonical_turns(turns, opts, key, order, text)
-    kept = canonical.filter(~F.col("is_dropped")).withColumn("_group", F.struct(key)).join(chosen, "_group")
-    pos, reasoning = F.col("pos"), F.col("reasoning_content")
-    kept = kept.filter((pos == F.col("_head")) | (pos >= F.coalesce("_from", pos)))
-    cut = F.when(pos == F.col("_one"), F.col("_one_chars")).when(pos == F.col("_two"), F.col("_two_chars"))
-    kept = kept.withColumn("_cut", cut).withColumn(
-        "reasoning_content", F.when(F.col("_cut").isNotNull(), F.substr(reasoning, F.lit(1), F.col("_cut"))).otherwise(reasoning)
-    )
-    fields = turn_ops.message_columns()
-    leads = pos == F.coalesce("_head", "_from")
-    text_of = F.when(leads, msg.render_first(fields, F.col("_tools"))).otherwise(msg.render(fields))
-    return kept.select(key, "pos", "role", "content", "reasoning_content", text_of.alias("rendered"))
+    return turn_truncation.cut_turns(turns, opts, key=key, order=order, text=text)
 
 
 def _samples(rows: DataFrame, opts: PrepOptions) -> DataFrame:
@@ -122,17 +87,10 @@ def _lengths(rows: DataFrame, opts: PrepOptions, keep: tuple[str, ...]) -> DataF
     return traced.select(*keep, "raw_length", "structured_length", "final_length", "stage")
 
 
-def prepare_lengths(
-    df: DataFrame, opts: PrepOptions = PrepOptions(), keep: tuple[str, ...] = ("conv_id",)
-) -> DataFrame:
-    """Raw, structured and final token counts and the stage, without building samples."""
-    return _lengths(canonical_rows(df, opts, keep), opts, keep)
-
-
 def prepare_turn_lengths(
     turns: DataFrame, opts: PrepOptions = PrepOptions(), key: str = "conv_id", **columns
 ) -> DataFrame:
-    """Like :func:`prepare_lengths` for a turn table."""
+    """Raw, structured and final token counts and the stage, without building samples."""
     return _lengths(turn_rows(turns, opts, key=key, **columns), opts, (key,))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import message as msg, tokens as tok
 from ..functions.external_tokenizer import ExternalTokenizer
-from ..operators import canonical, masking, rendering, stats, truncation
+from ..operators import canonical, history, masking, rendering, stats, truncation, turn_truncation
 from ..options import PrepOptions
 from ..sources import tables, turns as turn_ops
 from . import external, inputs, prepare
@@ -16,6 +16,8 @@ from . import external, inputs, prepare
 # Token budgets at which every truncation branch has rows.
 TURN_LIMIT = 512
 LIST_LIMIT = 256
+# Less than most conversations hold, more than most single turns.
+HISTORY_BUDGET = 384
 
 TURN_OPTIONS = PrepOptions(max_length=TURN_LIMIT)
 LIST_OPTIONS = PrepOptions(max_length=LIST_LIMIT)
@@ -251,6 +253,19 @@ def drop_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def turn_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What `drop_middle` tells, decided at turn grain."""
+    turns = inputs.varied_turns(spark, sf_dir)
+    placed = turn_truncation.placed_turns(turns, TURN_OPTIONS, text="content")
+    return placed.filter(F.col("rank") == F.col("from_rank")).select(
+        "conv_id",
+        _long("raw_total").alias("raw_total"),
+        "over",
+        (F.col("from_rank") - F.col("head")).alias("dropped"),
+        F.col("pos").alias("first_kept_turn"),
+    )
+
+
 def halve_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasoning of every kept message after fitting."""
     rows = prepare.fitted_turns(inputs.varied_turns(spark, sf_dir), TURN_OPTIONS, text="content")
@@ -476,6 +491,10 @@ def rendered_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.length_percentiles(stats.length_histogram(totals, "total_tokens"))
 
 
+def history_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.history_prompts(inputs.varied_turns(spark, sf_dir), HISTORY_BUDGET, text="content")
+
+
 QUERIES: dict[str, Query] = {
     "assemble": assemble,
     "explode": explode,
@@ -501,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "token_offsets": token_offsets,
     "anchors": anchors,
     "drop_middle": drop_middle,
+    "turn_cuts": turn_cuts,
     "halve_reasoning": halve_reasoning,
     "trace": trace,
     "truncate_left": truncate_left,
@@ -524,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "tools_overhead": tools_overhead,
     "token_freq": token_freq,
     "gen_prompts": gen_prompts,
+    "history_prompts": history_prompts,
     "text_prompts": text_prompts,
     "rendered_lengths": rendered_lengths,
 }

@@ -6,9 +6,9 @@ aggregations (combined before the shuffle), running sums go over blocks of
 turns, and a conversation becomes one array row only with a bounded number of
 turns.
 
-The order column is an integer that is unique within its conversation. Running sums
-spread a conversation over blocks of order values, so it should count turns rather than
-time where a single conversation may be huge.
+The order column is an integer that is unique within its conversation; it may count turns or
+be a time of any resolution. Running sums go over a tree of order values of three levels, so
+no window spans more than a fixed number of rows, however the values are spread.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from ..options import PrepOptions
 MAX_TURNS_PER_ROW = 4096
 # Fewest tokens a rendered message can have: two markers and two line ends.
 MIN_TOKENS_PER_MESSAGE = 4
-# Turns per block of a running sum.
-BLOCK_TURNS = 65536
+# Order values per block of a running sum, and blocks per branch of the tree above them.
+BLOCK_TURNS = 1 << 16
+BLOCKS_PER_BRANCH = 1 << 24
 # Sub-groups of each conversation when its turns are joined and ranked.
 SALTS = 16
 
@@ -100,41 +101,69 @@ def canonical_turns(
     return df.withColumns(policy) if policy else df
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     key: str,
     order: str,
-    value: Column,
-    name: str,
+    values: dict[str, Column],
     block: int = BLOCK_TURNS,
+    branch: int = BLOCKS_PER_BRANCH,
     keep: bool = False,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the earlier rows of the same key; NULL is a key as well.
-
-    Rows are summed per block first; a running sum over the few block totals
-    gives each block its start, and windows only ever span one block. ``keep`` leaves the
-    columns ``_group`` and ``_block``, by which the result is partitioned.
+    """Add the sums of ``values`` over the earlier rows of the same key; NULL is a key as well.
+
+    Prefix sums over a tree: rows are summed to blocks of order values and blocks to branches,
+    and a row's sum is that of the branches, blocks and rows before it. Order values are unique
+    integers, so a block has at most ``block`` rows, a branch ``branch`` blocks, and a key at
+    most 2^64 / (block * branch) branches; windows never span more. Only blocks that have rows
+    exist: dense values give few, sparse ones at most one a row. ``keep`` leaves the columns
+    ``_group`` and ``_block``, by which the result is partitioned.
     """
     # A struct compares equal where its field is NULL, unlike the bare key.
     group = {"_group": F.struct(key), "_block": F.floor(F.col(order) / block)}
-    df = df.withColumns({"_value": value, **group})
-    totals = df.groupBy("_group", "_block").agg(F.sum("_value").alias("_block_total"))
-    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "_group", "_block", F.coalesce(F.sum("_block_total").over(before), F.lit(0)).alias("_start")
-    )
+    df = df.withColumns({**{f"_value_{n}": v for n, v in values.items()}, **group})
+
+    def sums(name: str) -> list[Column]:
+        return [F.sum(f"{name}_{n}").alias(f"_value_{n}") for n in values]
+
+    def before(parts: tuple[str, ...], place: str, name: str) -> dict[str, Column]:
+        w = Window.partitionBy(*parts).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return {f"{name}_{n}": F.coalesce(F.sum(f"_value_{n}").over(w), F.lit(0)) for n in values}
+
+    blocks = df.groupBy("_group", "_block").agg(*sums("_value")).withColumn("_branch", F.floor(F.col("_block") / branch))
+    branches = blocks.groupBy("_group", "_branch").agg(*sums("_value"))
+    above = branches.withColumns(before(("_group",), "_branch", "_above")).drop(*[f"_value_{n}" for n in values])
+    starts = blocks.withColumns(before(("_group", "_branch"), "_block", "_start")).join(above, ["_group", "_branch"])
+    starts = starts.select("_group", "_block", *[(F.col(f"_start_{n}") + F.col(f"_above_{n}")).alias(f"_start_{n}") for n in values])
     # The key itself, too, so that filters on it move below the window.
-    inside = (
-        Window.partitionBy(key, "_group", "_block")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inside = before((key, "_group", "_block"), order, "_inside")
+    summed = df.join(starts, ["_group", "_block"]).withColumns(
+        {n: F.col(f"_start_{n}") + inside[f"_inside_{n}"] for n in values}
     )
-    summed = (
-        df.join(starts, ["_group", "_block"])
-        .withColumn(name, F.col("_start") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .drop("_value", "_start")
-    )
-    return summed if keep else summed.drop("_group", "_block")
+    extra = [f"{c}_{n}" for c in ("_value", "_start") for n in values]
+    return summed.drop(*extra) if keep else summed.drop(*extra, "_group", "_block")
+
+
+def running_total(
+    df: DataFrame, key: str, order: str, value: Column, name: str, block: int = BLOCK_TURNS, keep: bool = False
+) -> DataFrame:
+    """One running sum; see :func:`running_totals`."""
+    return running_totals(df, key, order, {name: value}, block, keep=keep)
+
+
+def salted(conversations: DataFrame, key: str) -> DataFrame:
+    """``_group, _salt`` for the key: one copy of a conversation's row for each sub-group of its turns."""
+    return conversations.withColumns(
+        {"_group": F.struct(key), "_salt": F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))}
+    ).drop(key)
+
+
+def with_conversation(
+    turns: DataFrame, conversations: DataFrame, key: str, order: str = "pos", how: str = "inner"
+) -> DataFrame:
+    """Turns joined to the row of their conversation, in sub-groups, so that a huge one spreads."""
+    salt = {"_group": F.struct(key), "_salt": F.pmod(F.hash(order), F.lit(SALTS))}
+    return turns.withColumns(salt).join(salted(conversations, key), ["_group", "_salt"], how).drop("_group", "_salt")
 
 
 def role_spans(
@@ -208,14 +237,8 @@ def _placed(turns: DataFrame, opts: PrepOptions, key: str) -> DataFrame:
         F.min(pos).alias("first_pos"),
         F.max(F.when(F.col("role") == "assistant", pos)).alias("last_pos"),
     )
-    salted = turns.withColumns({"_group": F.struct(key), "_salt": F.pmod(F.hash(pos), F.lit(SALTS))})
-    sides = ends.select(
-        F.struct(key).alias("_group"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        "first_pos",
-        "last_pos",
-    )
-    placed = salted.join(sides, ["_group", "_salt"]).withColumn(
+    salt = {"_group": F.struct(key), "_salt": F.pmod(F.hash(pos), F.lit(SALTS))}
+    placed = turns.withColumns(salt).join(salted(ends, key), ["_group", "_salt"]).withColumn(
         "trails", F.coalesce(pos > F.col("last_pos"), F.lit(True))
     )
     from_end = F.lit(opts.truncate_side == "left") | ~F.col("trails")
