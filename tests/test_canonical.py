@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from turnloom import PrepOptions
+from turnloom.functions.json_text import canonical_json
 from turnloom.functions.text import strip
 from turnloom.functions.tokens import tokens
 from turnloom.operators import canonical, rendering
@@ -193,3 +197,62 @@ def test_debug_counts_nothing_for_rows_without_messages(spark):
 def test_reasoning_field_falls_back_when_empty(spark):
     found, _ = messages_of(spark, [("assistant", "a", None, " t ")], reasoning_field="")
     assert found == [("assistant", "a", "t")]
+
+
+def random_json(rnd, depth=0):
+    """A JSON text with repeated keys, needless escapes and white space."""
+    gap = lambda: rnd.choice(["", "", " ", "\n\t"])
+    kind = rnd.random()
+    if depth > 3 or kind < 0.35:
+        return rnd.choice(["1", "-2.50", "1e5", "true", "null", '"x"', '"\\u00e9"', '"é"', '"a  b"', '""', '"\\\\"', '"}{,:"', '"\\ud83d\\ude00"'])
+    parts = [random_json(rnd, depth + 1) for _ in range(rnd.randrange(5))]
+    if kind < 0.6:
+        return f"[{gap()}{(gap() + ',' + gap()).join(parts)}{gap()}]"
+    keys = [rnd.choice(['"a"', '"b"', '"\\u0061"', '"é"', '"\\u00e9"']) for _ in parts]
+    return f"{{{gap()}{(',' + gap()).join(f'{k}{gap()}:{gap()}{p}' for k, p in zip(keys, parts))}{gap()}}}"
+
+
+class Number(str):
+    pass
+
+
+def plain_json(text):
+    """What `json.loads` reads, numbers as they are written; None where it fails."""
+
+    def dump(value):
+        if isinstance(value, Number):
+            return str(value)
+        if isinstance(value, dict):
+            return "{" + ",".join(f"{dump(k)}:{dump(v)}" for k, v in value.items()) + "}"
+        if isinstance(value, list):
+            return "[" + ",".join(map(dump, value)) + "]"
+        return json.dumps(value, ensure_ascii=False)
+
+    def refuse(_):
+        raise ValueError("not JSON")
+
+    try:
+        return dump(json.loads(text, parse_float=Number, parse_int=Number, parse_constant=refuse))
+    except ValueError:
+        return None
+
+
+def test_one_spelling_of_json(spark):
+    rnd = random.Random(6)
+    texts = [random_json(rnd) for _ in range(300)]
+    texts += [t[: rnd.randrange(len(t))] + rnd.choice(["", "}", "]", ",", "x", '"', " 1"]) for t in texts[:100]]
+    texts += ['{"a":1} x', '{"a":1,"a":2}{}', '{"a":1,"a":2,}', "{'a':1,'a':2}", '{"a":1,"a":01}', '{"a":1,"a":NaN}', '{"a" 1,"a":2}', '"x" {"a":1,"a":2}', "[1,,2]", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", canonical_json(F.col("t")).alias("c")).collect()
+    assert {r.t: r.c for r in rows} == {t: plain_json(t) for t in texts}
+
+
+def test_equal_schemas_give_equal_tokens(spark):
+    rows = [('[{"name":"x","name":"caf\\u00e9"}]',), ('[ {"name" : "café"} ]',)]
+    found = normalize_tools(spark.createDataFrame(rows, "tools string")).select("tools", "tools_from_string").distinct().collect()
+    assert [tuple(r) for r in found] == [('[{"name":"café"}]', True)]
+
+
+def test_long_json_needs_no_deep_stack(spark):
+    texts = ['{"a":"' + "x\\n" * 60_000 + '","a":1}', '{"a":"' + "y" * 1_000_000 + '"}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.length(canonical_json(F.col("t"))).alias("n")).collect()
+    assert [r.n for r in rows] == [7, 1_000_008]

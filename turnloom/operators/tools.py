@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.barrier import with_computed
+from ..functions.json_text import canonical_json
 from ..functions.text import as_string, strip
 
-# White space between JSON tokens, behind whole strings that are kept.
-_BETWEEN = r'("(?:[^"\\]|\\.)*")|[ \t\r\n]+'
-
 # Column names searched, in order.
 TOOL_COLUMNS = ("tools", "tool_schemas", "functions", "function_schemas")
 
@@ -21,20 +20,17 @@ def resolve_tools_column(df: DataFrame) -> str | None:
 def parse_tools(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
     """``(tools text or NULL, was it parsed from a string)`` for one column.
 
-    Valid JSON text loses the white space between its tokens, so equal schemas in
-    different spacing are equal texts; the order of keys and the spelling of
-    strings and numbers stay. Text that does not parse, which includes objects with
-    repeated keys, is kept untouched. JSON ``null`` and blank text count as absent.
+    Valid JSON text gets one spelling, so equal schemas are equal texts: no white space between
+    tokens, no needless escapes, and of repeated keys the first place and the last value. The
+    order of keys and the spelling of numbers stay. Text that does not parse is kept untouched.
+    JSON ``null`` and blank text count as absent.
     """
     if not isinstance(dtype, T.StringType):
         return as_string(c, dtype), F.lit(False)
     trimmed = F.nullif(strip(c), F.lit(""))
-    parsed = F.try_parse_json(trimmed)
-    is_null_literal = F.is_variant_null(parsed)
-    text = F.when(parsed.isNull() & trimmed.isNotNull(), c).when(
-        ~is_null_literal, F.regexp_replace(trimmed, _BETWEEN, "$1")
-    )
-    return text, F.coalesce(parsed.isNotNull() & ~is_null_literal, F.lit(False))
+    spelled = canonical_json(trimmed)
+    text = F.when(spelled.isNull() & trimmed.isNotNull(), c).when(spelled != "null", spelled)
+    return text, F.coalesce(spelled != "null", F.lit(False))
 
 
 def normalize_tools(df: DataFrame) -> DataFrame:
@@ -44,4 +40,4 @@ def normalize_tools(df: DataFrame) -> DataFrame:
         text, parsed = F.lit(None).cast("string"), F.lit(False)
     else:
         text, parsed = parse_tools(F.col(name), df.schema[name].dataType)
-    return df.withColumns({"tools_from_string": parsed, "tools": text})
+    return with_computed(df, {"tools_from_string": parsed, "tools": text})

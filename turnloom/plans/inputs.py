@@ -30,6 +30,8 @@ VARIED_COLUMNS = (
        THEN ' ' || text || chr(10) END AS thinking""",
     """CASE WHEN conv_id % 8 = 4
        THEN ' [ {"type": "function",' || chr(10) || ' "function" : {"name": "look  up"} } ]'
+       WHEN conv_id % 8 = 6 THEN '[{"name":"caf' || chr(92) || 'u00e9","type":1,"name":"' || chr(92) || 'u0061' || chr(92)
+         || '/b"}, {"type":"function", "type" : {"k":[1, 2]},"name":"' || chr(92) || 'n"}]'
        ELSE CASE conv_id % 4
        WHEN 0 THEN '[{"type":"function","function":{"name":"lookup","parameters":{"type":"object"}}}]'
        WHEN 1 THEN '  '

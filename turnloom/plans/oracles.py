@@ -36,8 +36,16 @@ PLAIN = """varied AS (
          NULL::VARCHAR AS reasoning, NULL::VARCHAR AS thinking, NULL::VARCHAR AS tools
   FROM conversations)"""
 
-# Tool schemas without white space between JSON tokens.
-_TIGHT = r"""regexp_replace({0}, '("(?:[^"\\]|\\.)*")|[ \t\r\n]+', '\1', 'g')"""
+# Tool schemas, lists of objects, in one spelling: each key once, in its first place, with its last value.
+_SPELLED = """tool_pairs AS (
+  SELECT tools, i, key, min(rowid) AS place, arg_max(value::VARCHAR, rowid) AS v
+  FROM (SELECT tools, unnest(range(json_array_length(tools)::BIGINT)) AS i
+        FROM (SELECT DISTINCT tools FROM {0} WHERE json_valid(tools))) t,
+    json_each(json_extract(t.tools, '$[' || t.i || ']')) GROUP BY ALL),
+spelled AS (
+  SELECT tools AS given, '[' || string_agg(o, ',' ORDER BY i) || ']' AS text
+  FROM (SELECT tools, i, '{{' || string_agg(to_json(key) || ':' || v, ',' ORDER BY place) || '}}' AS o
+        FROM tool_pairs GROUP BY ALL) GROUP BY tools)"""
 
 
 def _canonical(source: str, key: str, think: bool = True, drop: bool = False) -> str:
@@ -46,7 +54,8 @@ def _canonical(source: str, key: str, think: bool = True, drop: bool = False) ->
     found = f"role = 'assistant' AND regexp_matches(content, '{_THINK}')" if think else "false"
     cleared = "CASE WHEN r2 IS NOT NULL THEN '' END" if drop else "r2"
     dropped = "role = 'think'" if drop else "false"
-    return f"""cleaned AS (
+    return f"""{_SPELLED.format(source)},
+cleaned AS (
   SELECT {key}, turn, {_trim('coalesce(role, $$$$)')} AS role, coalesce(content, '') AS content,
          reasoning_content, reasoning, thinking, tools
   FROM {source}
@@ -68,10 +77,9 @@ thought AS (
   FROM settled),
 canon AS (
   SELECT {key}, turn, role, content, moved, extracted, {cleared} AS r, {dropped} AS is_dropped,
-    CASE WHEN {_trim('tools')} = '' THEN NULL
-         WHEN json_valid({_trim('tools')}) THEN {_TIGHT.format(_trim('tools'))} ELSE tools END AS tools,
+    CASE WHEN {_trim('tools')} = '' THEN NULL WHEN text IS NOT NULL THEN text ELSE tools END AS tools,
     tools IS NOT NULL AND json_valid(tools) AS tools_from_string
-  FROM thought)"""
+  FROM thought LEFT JOIN spelled ON tools = given)"""
 
 
 def _render(r: str, extra: str = "''") -> str:
