@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -470,3 +471,55 @@ def test_candidates_match_brute_force():
                     want.append((kind, *m.span()))
                     taken.append(m.span())
         assert personal_data.candidates(text, base) == want
+
+
+def test_base_spans_equal_the_plain_patterns():
+    """Leftmost matches without overlaps, failing ones dropped, as the patterns are written."""
+    forms = (
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+",
+        r"\+[0-9][\x20().0-9-]+[0-9]",
+    )
+
+    def passes(kind, found):
+        digits = re.sub(r"\D", "", found)
+        if kind == 1:
+            return all(int(p) <= 255 for p in found.split("."))
+        if kind == 2:
+            doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+            return 16 <= len(digits) <= 19 and sum(n - 9 * (n > 9) for n in doubled) % 10 == 0
+        return kind == 0 or 8 <= len(digits) <= 15
+
+    rng = random.Random(3)
+    seen = Counter()
+    for _ in range(20_000):
+        text = "".join(rng.choice(["a", "1", ".", "@", "-", "%", " ", "+", "25", "é", "4111 1111 1111 1111", "0.0.0"]) for _ in range(rng.randrange(20)))
+        want = [(k, *m.span()) for k, form in enumerate(forms) for m in re.finditer(form, text) if passes(k, m[0])]
+        assert personal_data.base_spans(text) == want
+        seen.update(k for k, _, _ in want)
+    assert min(seen[k] for k in range(4)) > 50
+
+
+def test_long_runs_take_little_time():
+    began = time.time()
+    assert personal_data.base_spans("1" * 5_000 + ".1.1.1") == []
+    assert personal_data.base_spans("0" * 5_000 + "9.1.1.1") == [(1, 0, 5_007)]
+    for text in ("7" * 10**6, "a" * 10**6 + " x@y", "." * 10**6 + "@a.b", "a." * 500_000 + "@", "1." * 400_000, "a@" * 400_000, "x@" + "b-" * 500_000, "+1(" * 300_000, "at " * 300_000):
+        personal_data.candidates(text, personal_data.base_spans(text))
+    assert time.time() - began < 30
+
+
+def test_the_model_adds_some_spans_and_refuses_others(spark):
+    """Addresses written out in words beside mail words are added; prose of the same form is not."""
+    texts = [f"contact: user{i}@host{i % 7}.com for more" for i in range(120)]
+    texts += [f"please email jane{i} at host{i % 5} dot com today" for i in range(40)]
+    texts += [f"they met at noon{i}. We left" for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    added = {}
+    for r in personal_data.personal_data(docs).collect():
+        new = [texts[r.id][s.start : s.end] for s in r.spans if s not in r.base]
+        if new:
+            added[r.id] = new
+    assert {i for i in added} == set(range(120, 160))
+    assert added[123] == ["jane3 at host3 dot com"]

@@ -32,6 +32,9 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# The same where no character that could start the match earlier stands before it.
+EMAIL_FIRST = re.compile(r"(?<![A-Za-z0-9._%+-])" + EMAIL.pattern)
+IP_FIRST = re.compile(r"(?<![0-9])" + IP.pattern)
 # Looser forms of the same data; each match that is no base span is a candidate.
 LOOSE = {
     "email": re.compile(
@@ -85,12 +88,28 @@ def _digits(text: str) -> str:
     return "".join(filter(str.isdigit, text))
 
 
+def _byte(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
+def _from_run_starts(form: re.Pattern, first: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Like form.finditer. What matches from inside a run of the form's first characters matches
+    from the run's start too, so runs are tried once each: from there, or behind the match before."""
+    at = 0
+    while m := form.match(text, at) or first.search(text, at):
+        yield m
+        at = m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the fixed patterns; failing matches are dropped, not retried."""
     found = []
     if "@" in text:
-        found += [(0, *m.span()) for m in EMAIL.finditer(text)]
-    found += [(1, *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        found += [(0, *m.span()) for m in _from_run_starts(EMAIL, EMAIL_FIRST, text)]
+    # A match takes all digits of its last part, so that the next one starts at a run's start.
+    found += [(1, *m.span()) for m in IP_FIRST.finditer(text) if all(map(_byte, m[0].split(".")))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
             digits = _digits(m[0])
@@ -102,15 +121,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _loose_matches(name: str, text: str) -> Iterator[re.Match]:
-    """Like finditer. What matches an email from inside a run of name characters matches from
-    the run's start too, so runs are tried once each: from there, or behind the match before."""
-    if name != "email":
-        yield from LOOSE[name].finditer(text)
-        return
-    at = 0
-    while m := LOOSE[name].match(text, at) or LOOSE_EMAIL_FIRST.search(text, at):
-        yield m
-        at = m.end()
+    if name == "email":
+        return _from_run_starts(LOOSE[name], LOOSE_EMAIL_FIRST, text)
+    return LOOSE[name].finditer(text)
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -142,7 +155,8 @@ def votes(text: str, kind: int, start: int, end: int, is_base: bool) -> tuple[in
     around = {w.lower() for w in WORD.findall(text[max(0, start - CONTEXT_CHARS) : start])}
     around_after = {w.lower() for w in WORD.findall(text[end : end + CONTEXT_CHARS // 2])}
     vote = [0] * LABELERS
-    vote[FORM] = 2 if is_base else 1
+    # The strict form speaks for a span; a looser one says nothing.
+    vote[FORM] = 2 if is_base else 0
     if name == "email":
         vote[GAZETTEER] = 2 if re.split(r"[.\s]|dot", span.lower())[-1].strip("])}> ") in HOST_ENDINGS else 1
         vote[CHECKED] = 2 if "@" in span else 0
