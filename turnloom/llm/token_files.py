@@ -26,7 +26,7 @@ from .common import col, text_or_empty
 # Bits between two stored counts of ones.
 BLOCK = 512
 SHARD_IDS = 1 << 23
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1_000_000
 NEW_PIECES = 20_000
 # Fixed value: how the word vocabulary splits lower-case text before merging.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
