@@ -46,8 +46,10 @@ class WaveletMatrix:
         for bit in range(bits - 1, -1, -1):
             ones = (rest >> rest.dtype.type(bit)) & rest.dtype.type(1) != 0
             plane = np.packbits(ones, bitorder="little")
-            left = rest[~ones]
-            rest = np.concatenate((left, rest[ones]))
+            left, ahead = rest[~ones], np.empty_like(rest)
+            ahead[: len(left)] = left
+            ahead[len(left) :] = rest[ones]
+            rest = ahead
             padded = np.pad(plane, (0, -len(plane) % (BLOCK // 8))).view(np.uint64).reshape(-1, BLOCK // 64)
             counts = np.bitwise_count(padded).sum(axis=1, dtype=np.uint32)
             planes.append(plane)
@@ -192,13 +194,16 @@ class WordEncoder:
         if any(name in text for name in self._added):
             return np.frombuffer(self._library([text])[0], self.kind)
         pieces = self._find(text.lower())
-        unknown = set(pieces).difference(self._memo)
-        if len(self._memo) + len(unknown) > MEMO_PIECES:
-            self._memo.clear()
-            unknown = set(pieces)
-        if unknown:
+        found = list(map(self._memo.get, pieces))
+        if None in found:
+            places = [i for i, known in enumerate(found) if known is None]
+            unknown = {pieces[i] for i in places}
+            if len(self._memo) + len(unknown) > MEMO_PIECES:
+                self._memo.clear()
             self._learn(list(unknown))
-        return np.frombuffer(b"".join(map(self._memo.__getitem__, pieces)), self.kind)
+            for i in places:
+                found[i] = self._memo[pieces[i]]
+        return np.frombuffer(b"".join(found), self.kind)
 
 
 @lru_cache(maxsize=2)
