@@ -405,6 +405,15 @@ JOIN counted l ON l.conv_id = h.conv_id AND l.i = h.last""",
     + """SELECT h.conv_id, h.raw AS raw_total, h.over, (h.start - h.head)::BIGINT AS dropped,
   c.turn AS first_kept_turn
 FROM chosen h JOIN counted c ON c.conv_id = h.conv_id AND c.i = h.start""",
+    "shard_plan": _with(*_TURNS, *_samples("conv_id", TURN_LIMIT))
+    + """, buckets AS (
+  SELECT ('0x' || substr(md5(conv_id::VARCHAR), 1, 4))::INT AS bucket, sum(n)::DOUBLE AS tokens
+  FROM cut GROUP BY 1),
+middles AS (
+  SELECT bucket, sum(tokens) OVER (ORDER BY bucket) - tokens / 2 AS middle, sum(tokens) OVER () AS total
+  FROM buckets)
+SELECT least(floor(middle * 4 / total), 3)::BIGINT AS shard, count(*) AS n_rows, sum(n)::BIGINT AS n_tokens
+FROM cut JOIN middles ON bucket = ('0x' || substr(md5(conv_id::VARCHAR), 1, 4))::INT GROUP BY 1""",
     "history_prompts": _with(*_TURNS, *_HISTORY)
     + """SELECT conv_id, r.turn, r.first_turn, count(*) AS n_turns,
   (sum(n) + any_value(fixed))::BIGINT AS n_tokens,

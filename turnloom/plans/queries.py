@@ -10,7 +10,7 @@ from ..functions import message as msg, tokens as tok
 from ..functions.external_tokenizer import ExternalTokenizer
 from ..operators import canonical, history, masking, rendering, stats, truncation, turn_truncation
 from ..options import PrepOptions
-from ..sources import tables, turns as turn_ops
+from ..sources import shards, tables, turns as turn_ops
 from . import external, inputs, prepare
 
 # Token budgets at which every truncation branch has rows.
@@ -491,6 +491,14 @@ def rendered_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.length_percentiles(stats.length_histogram(totals, "total_tokens"))
 
 
+def shard_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and tokens of four shards of the samples."""
+    rows = prepare.prepare_turn_samples(inputs.varied_turns(spark, sf_dir), TURN_OPTIONS, text="content")
+    placed = shards.with_shard(rows, 4)
+    totals = shards.shard_totals(placed, rows.columns, shards.SHARD)
+    return totals.select(_long(shards.SHARD).alias("shard"), "n_rows", "n_tokens")
+
+
 def history_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history_prompts(inputs.varied_turns(spark, sf_dir), HISTORY_BUDGET, text="content")
 
@@ -545,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "token_freq": token_freq,
     "gen_prompts": gen_prompts,
     "history_prompts": history_prompts,
+    "shard_plan": shard_plan,
     "text_prompts": text_prompts,
     "rendered_lengths": rendered_lengths,
 }
