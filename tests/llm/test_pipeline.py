@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as driver
 import compare
 import corpus_pipeline
+from turnloom.llm import decontaminate, exact_dedup, simhash_dedup
 from turnloom.llm.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -42,3 +43,14 @@ def test_stages_keep_columns_and_decide(spark):
     assert docs.select("text").distinct().count() == before == docs.select("doc_id").distinct().count()
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
     assert last.count() == before and last.filter("n_tokens <> size(input_ids)").count() == 0
+
+
+def test_stages_take_any_extra_columns(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    names = ("_leak", "_gone", "_id0", "id", "n", "hashes", "fp")
+    extra = docs.selectExpr("*", *[f"1 AS {name}" for name in names])
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    for stage in (lambda d: decontaminate.drop_leaks(d, items), simhash_dedup.keep_one_of_each_component, exact_dedup.keep_one_of_equal_texts):
+        kept = stage(extra)
+        assert kept.columns == extra.columns
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in stage(docs).collect())

@@ -63,6 +63,16 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id is not in the column `id` of `ids`; rows with a NULL id stay.
+
+    Any columns of `docs` may have any name.
+    """
+    taken = {name.lower() for name in docs.columns}
+    name = next(n for n in (f"_id{i}" for i in range(len(taken) + 1)) if n not in taken)
+    return docs.join(ids.select(F.col("id").alias(name)), col(id_col) == F.col(name), "left_anti")
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     """The schema with every column allowed to be NULL, for rows made in Python."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])

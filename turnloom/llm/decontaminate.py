@@ -20,7 +20,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, text_or_empty, written
+from .common import col, text_or_empty, written, without_ids
 from .shingles import bit_counts, majority, with_shingles
 
 SHINGLE_WORDS = 5
@@ -161,5 +161,4 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose id repeats no benchmark item. Rows without an id stay."""
-    found = leaks(docs, items, id_col, text_col).select(F.col("id").alias("_leak")).distinct()
-    return docs.join(found, col(id_col) == F.col("_leak"), "left_anti")
+    return without_ids(docs, id_col, leaks(docs, items, id_col, text_col).select("id").distinct())

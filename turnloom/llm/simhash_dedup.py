@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import col, text_or_empty, written
+from .common import col, text_or_empty, without_ids, written
 
 BITS = 64
 HASH_SEED = 42
@@ -297,5 +297,4 @@ def keep_one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col
     Rows without an id cannot be told apart by it and stay.
     """
     rows = simhash_components(docs, id_col, text_col)
-    gone = rows.filter("id <> component_id").select(F.col("id").alias("_gone"))
-    return docs.join(gone, col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, id_col, rows.filter("id <> component_id"))
