@@ -190,15 +190,15 @@ def token_frequencies(listed: DataFrame) -> DataFrame:
     return counted.withColumn("n_same_id", F.count(F.lit(1)).over(same))
 
 
-def length_report(lengths: DataFrame, max_length: int | None = 0) -> dict[str, DataFrame]:
-    """All length tables by name; the window tables need a ``max_length``."""
-    histogram = length_histogram(lengths)
-    report = {
-        "histogram": histogram,
-        "percentiles": length_percentiles(histogram, max_length),
-        "raw_lengths": raw_lengths(lengths),
-    }
+def histogram_report(histogram: DataFrame, max_length: int | None = 0) -> dict[str, DataFrame]:
+    """The length tables that a histogram gives; the window tables need a ``max_length``."""
+    report = {"histogram": histogram, "percentiles": length_percentiles(histogram, max_length)}
     if max_length:
         report["utilisation"] = window_utilisation(histogram, max_length)
         report["truncation"] = truncation_summary(histogram, max_length)
     return report
+
+
+def length_report(lengths: DataFrame, max_length: int | None = 0) -> dict[str, DataFrame]:
+    """All length tables by name; the window tables need a ``max_length``."""
+    return {**histogram_report(length_histogram(lengths), max_length), "raw_lengths": raw_lengths(lengths)}

@@ -1,5 +1,6 @@
 """Sample preparation over append-only streams of conversations."""
 
+from .lengths import length_stream
 from .samples import checkpoint_location, prepare_stream
 
-__all__ = ["checkpoint_location", "prepare_stream"]
+__all__ = ["checkpoint_location", "length_stream", "prepare_stream"]
