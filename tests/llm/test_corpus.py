@@ -327,6 +327,47 @@ def test_license_scan(spark):
     assert {(1, "Apache-2.0"), (2, "MIT"), (7, "CC-BY-NC-4.0")} <= want and not any(d == 6 for d, _ in want)
     assert license_scan.collision_probability(license_scan.CONTAINMENT / 1.5 / 1.5) > 0.999
     assert license_scan.license_matches(docs.limit(0), license_scan.templates(spark)).count() == 0
+    shuffled = license_scan.license_matches(docs, license_scan.templates(spark), broadcast_rows=0).collect()
+    assert sorted(shuffled) == sorted(found)
+
+
+def test_license_texts_of_any_length(spark, tmp_path):
+    rng = random.Random(7)
+    words = [f"{rng.choice(VOCABULARY)}{rng.randrange(300)}" for _ in range(14_000)]
+    long, short = words[:6000], words[6000:6300]
+    (tmp_path / "Long 1.0.txt").write_text(" ".join(long))
+    (tmp_path / "Short").write_text(" ".join(short))
+    known = license_scan.read_templates(spark, str(tmp_path))
+    assert {r.license for r in known.collect()} == {"Long 1.0", "Short"}
+
+    def edited(text, every):
+        return [f"new{i}" if i % every == every - 1 else w for i, w in enumerate(text)]
+
+    # Every 28th word changed spoils five shingles in 28, which leaves 0.82; every 15th leaves 0.67.
+    docs = [(0, words[7000:] + long + words[:50]), (1, edited(long, 28)), (2, edited(long, 15)), (3, long[:4000])]
+    docs += [(10 + i, words[9000 : 9000 + 37 * i] + edited(short, 28) + words[8000 : 8000 + 11 * i]) for i in range(30)]
+    docs += [(100, short * 3), (101, short[:200])]
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    want = set()
+    for i, t in docs:
+        have = set(plain_shingles(" ".join(t)))
+        for name, x in (("Long 1.0", long), ("Short", short)):
+            s = set(plain_shingles(" ".join(x)))
+            if len(s & have) / len(s) >= 0.8:
+                want.add((i, name))
+    assert {(0, "Long 1.0"), (1, "Long 1.0"), (10, "Short"), (100, "Short")} <= want and len(want) == 33
+    for broadcast_rows in (license_scan.BROADCAST_ROWS, 0):
+        found = license_scan.license_matches(table, known, broadcast_rows=broadcast_rows).collect()
+        got = [(r.id, r.license) for r in found]
+        assert len(set(got)) == len(got) and set(got) <= want and len(got) >= 0.9 * len(want)
+        assert (0, "Long 1.0") in got and (1, "Long 1.0") in got
+    assert license_scan.license_matches(table, known.limit(0)).count() == 0
+
+
+def test_license_length_classes():
+    for n in range(1, 5000):
+        c = license_scan.length_class(n)
+        assert n <= c <= max(2, 1.5 * n)
 
 
 # --- chat formatting -------------------------------------------------------
