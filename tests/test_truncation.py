@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ import brute
 from turnloom import PrepOptions
 from turnloom.plans.external import prepare_samples_with
 from turnloom.functions.external_tokenizer import ExternalTokenizer
+from turnloom.functions.joined_counts import JoinedCounts
 from turnloom.operators import rendering, truncation
 from turnloom.plans import prepare
 from turnloom.sources import turns as turn_ops
@@ -148,7 +150,8 @@ def test_one_rule_for_conversations_of_any_size(spark, trailing):
     assert collected(samples) == {1: brute.sample(messages, limit, fitted=fitted)}
 
 
-def test_external_tokenizer_without_additive_counts(spark):
+@pytest.mark.parametrize("agreement", [None, 4])
+def test_external_tokenizer_without_additive_counts(spark, agreement):
     """Pairs of characters as tokens: boundaries run across messages and tags."""
 
     def make():
@@ -164,11 +167,12 @@ def test_external_tokenizer_without_additive_counts(spark):
         {"max_length": 90, "think_loss": "answer_plus_think", "truncate_side": "right"},
     ):
         opts = PrepOptions(extract_think_tags=False, **settings)
-        df = prepare_samples_with(list_table(spark, rows), ExternalTokenizer(make, eos_id=7), opts)
+        df = prepare_samples_with(list_table(spark, rows), ExternalTokenizer(make, eos_id=7, agreement=agreement), opts)
         assert collected(df) == expected(rows, settings, make(), 7)
 
 
-def test_external_subword_tokenizer(spark):
+@pytest.mark.parametrize("agreement", [None, 16])
+def test_external_subword_tokenizer(spark, agreement):
     tokenizers = pytest.importorskip("tokenizers")
     trained = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="?"))
     trained.pre_tokenizer = tokenizers.pre_tokenizers.Split(tokenizers.Regex(r"\w+|\s+|\W"), "isolated")
@@ -192,10 +196,64 @@ def test_external_subword_tokenizer(spark):
 
     settings = {"max_length": 80, "think_loss": "answer_only"}
     opts = PrepOptions(extract_think_tags=False, **settings)
-    df = prepare_samples_with(list_table(spark, rows), ExternalTokenizer(make), opts)
+    df = prepare_samples_with(list_table(spark, rows), ExternalTokenizer(make, agreement=agreement), opts)
     assert collected(df) == expected(rows, settings, make(), None)
 
 
+def test_joined_counts_are_near_linear():
+    """Counts of joined texts equal those of the whole; the encoded text grows with its length."""
+    pattern = re.compile(r"\w{1,5}|\s+(?=\w)|\W")
+    spent = 0
+
+    def encode(text):
+        nonlocal spent
+        spent += len(text)
+        found = list(pattern.finditer(text))
+        return [hash(m.group()) for m in found], [m.span() for m in found]
+
+    rng = random.Random(5)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("ab é.<", k=rng.randrange(1, 12))) for _ in range(n))
+
+    for n_parts in (100, 400):
+        counts = JoinedCounts(encode, 16)
+        parts, heads = [prose(20) for _ in range(n_parts)], [prose(20) for _ in range(n_parts)]
+        left = prose(2000)
+        spent, at, got = 0, 0, []
+        start, whole = counts.known(left), counts.known("".join(parts))
+        for head, part in zip(heads, parts):
+            got.append(counts.count(start, head, whole, at))
+            at += len(part)
+        used = spent
+        want = [len(encode(left + h + "".join(parts[i:]))[0]) for i, h in enumerate(heads)]
+        assert got == want
+        assert used <= 5 * (len(left) + len("".join(heads + parts)))
+    # Parts whose tokens never meet are encoded whole.
+    pairs = JoinedCounts(lambda t: ([0] * -(-len(t) // 2), [(i, min(i + 2, len(t))) for i in range(0, len(t), 2)]), 4)
+    for n in range(4):
+        assert pairs.count(pairs.known("x" * 1001), "y" * n, pairs.known("z" * 999), 5) == -(-(1995 + n) // 2)
+    assert pairs.count(pairs.known(""), "", pairs.known("")) == 0
+
+
+def test_a_false_statement_about_a_tokenizer_is_noticed(spark):
+    """Characters count twice in long texts, so counts from parts are too low."""
+
+    def make():
+        def encode(text):
+            times = 2 if len(text) > 150 else 1
+            spans = [(i, i + 1) for i in range(len(text)) for _ in range(times)]
+            return [ord(text[a]) for a, _ in spans], spans
+
+        return encode
+
+    rows = brute.random_conversations(random.Random(13), 60)
+    settings = {"max_length": 250, "think_loss": "answer_only"}
+    opts = PrepOptions(extract_think_tags=False, **settings)
+    plug = ExternalTokenizer(make, agreement=4)
+    assert collected(prepare_samples_with(list_table(spark, rows), plug, opts)) == expected(rows, settings, make(), None)
+
+
 @pytest.mark.parametrize("atomic", [True, False])
 def test_external_tokenizer_with_atomic_markers(spark, atomic):
     """The built-in split as a plug-in, by sums and by whole candidates, with capped reasoning."""

@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from .joined_counts import JoinedCounts
 from .message import think_text
 
 # Text to (ids, [(start, end), ...]) with character offsets.
@@ -40,14 +41,20 @@ class ExternalTokenizer:
 
     ``atomic_markers`` states that no token reaches across a template marker or think tag
     and that each is a token of its own, as in chat tokenizers. Then counts of messages add
-    up, each message is encoded once, and what fits follows from sums. Without it every
-    choice is encoded as a whole text.
+    up, each message is encoded once, and what fits follows from sums.
+
+    ``agreement`` is for the others: encodings that have given the same tokens over that many
+    characters of the same text go on alike, and the end of a text changes no more than that
+    (see :class:`JoinedCounts`). Then choices are counted from encoded parts, with only the text
+    around their joints encoded anew. The choice found and the one before it are encoded whole;
+    if the counts do not bear it out, or neither statement is made, every choice is encoded whole.
     """
 
     make: Callable[[], Encode]
     eos_id: int | None = None
     make_decode: Callable[[], Callable[[list[int]], str]] | None = None
     atomic_markers: bool = False
+    agreement: int | None = None
 
     def count(self, text: Column) -> Column:
         """Number of tokens of a text."""
@@ -99,7 +106,7 @@ class ExternalTokenizer:
         turn; reasoning that never fits is emptied. The last choice needs no fit.
         NULL in, NULL out.
         """
-        make, additive = self.make, self.atomic_markers
+        make, additive, agreement = self.make, self.atomic_markers, self.agreement
         opens, closes = think_text("|").split("|")
 
         def choices(n_middle: int, blocks: list) -> Iterator[tuple[int, list[int | None]]]:
@@ -150,16 +157,61 @@ class ExternalTokenizer:
                         cuts[i], sizes[i] = 0, size(block_text(block, 0, "alone"))
                 return {"dropped": n, "cuts": cuts}
 
-            def chosen(head, leading, following, blocks, rest) -> dict:
-                if head is None:
+            def joined(head, leading, following, blocks, rest) -> dict:
+                """The same choice from encoded parts; see :class:`JoinedCounts`."""
+                counts = JoinedCounts(encode, agreement)
+                n = len(leading)
+                if n > 1:
+                    tail = "".join(block_text(b, None, "before") for b in blocks) + rest
+                    left, right, at = counts.known(head), counts.known("".join(following[2:]) + tail), 0
+                    for start in range(1, n):
+                        if counts.count(left, leading[start], right, at) <= limit:
+                            return {"dropped": start, "cuts": [None] * len(blocks)}
+                        at += len("".join(following[start + 1 : start + 2]))
+                cuts: list[int | None] = [None] * len(blocks)
+                for i, block in enumerate(blocks):
+                    length = len(block["reasoning"] or "")
+                    shown = [block_text(b, c, "alone") for b, c in zip(blocks, cuts)]
+                    if length:
+                        left = counts.known(head + "".join(shown[:i]))
+                        right = counts.known("".join(shown[i + 1 :]) + rest)
+                    for halvings in range(length.bit_length()):
+                        cut = length >> halvings
+                        if counts.count(left, block_text(block, cut, "alone"), right) <= limit:
+                            return {"dropped": n, "cuts": [*cuts[:i], cut, *cuts[i + 1 :]]}
+                    if length:
+                        cuts[i] = 0
+                return {"dropped": n, "cuts": cuts}
+
+            def fits(choice, head, leading, following, blocks, rest) -> bool:
+                start, cuts = choice
+                middle = "".join([*leading[start : start + 1], *following[start + 1 :]])
+                way = "before" if middle else "alone"
+                tail = "".join(block_text(b, c, way) for b, c in zip(blocks, cuts)) + rest
+                return size(head + middle + tail) <= limit
+
+            def borne_out(found: dict, *row) -> bool:
+                """Whether the choice fits, unless it is the last one, and the one before does not."""
+                before = None
+                listed = choices(len(row[1]), row[3])
+                for choice in listed:
+                    if choice == (found["dropped"], found["cuts"]):
+                        last = next(listed, None) is None
+                        return (last or fits(choice, *row)) and (before is None or not fits(before, *row))
+                    before = choice
+                return False
+
+            def chosen(*row) -> dict:
+                if row[0] is None:
                     return {"dropped": None, "cuts": None}
                 if additive:
-                    return summed(head, leading, following, blocks, rest)
-                for start, cuts in choices(len(leading), blocks):
-                    middle = "".join([*leading[start : start + 1], *following[start + 1 :]])
-                    way = "before" if middle else "alone"
-                    tail = "".join(block_text(b, c, way) for b, c in zip(blocks, cuts)) + rest
-                    if len(encode(head + middle + tail)[0]) <= limit:
+                    return summed(*row)
+                if agreement is not None:
+                    found = joined(*row)
+                    if borne_out(found, *row):
+                        return found
+                for start, cuts in choices(len(row[1]), row[3]):
+                    if fits((start, cuts), *row):
                         break
                 return {"dropped": start, "cuts": cuts}
 
