@@ -81,8 +81,10 @@ def test_cuckoo_index_inserts_deletes_and_grows():
     assert dict(index.items()) == live and len(index) == len(live) and index.resizes > 0
 
 
-def test_exact_dedup(docs, empty):
-    found = exact_dedup.exact_dedup(docs, carry=docs.columns).collect()
+@pytest.mark.parametrize("keys", [1, 3, exact_dedup.INDEX_KEYS])
+def test_exact_dedup(docs, empty, keys):
+    """Indexes of any size give the same rows."""
+    found = exact_dedup.exact_dedup(docs, carry=docs.columns, index_keys=keys).collect()
     best, size = {}, Counter()
     for i, t in given():
         size[t] += 1
@@ -100,6 +102,14 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_one_text_a_hundred_thousand_times(spark):
+    many = spark.range(100_000).selectExpr("id AS doc_id", "if(id % 3 = 0, concat('text ', id), 'the same') AS text")
+    found = exact_dedup.exact_dedup(many.repartition(6), index_keys=500)
+    by_size = {r.group_size: (r.n, r.kept) for r in found.groupBy("group_size").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()}
+    assert by_size == {1: (33_334, 33_334), 66_666: (66_666, 1)}
+    assert found.filter("kept AND group_size > 1").first().id == 99_998
+
+
 # --- SimHash ---------------------------------------------------------------
 
 

@@ -2,8 +2,9 @@
 
 Every row becomes (digest, id, row number), written once. Rows of one digest are
 first merged within each batch of a map task, so a group of copies of any size
-reaches the index as a few partial groups. The index is partitioned by digest;
-in each partition a cuckoo filter answers whether a digest may be live, a hit is
+reaches the index as a few partial groups. The index is partitioned by digest, and
+rows come to it in the order of their digests, so it closes at a border between digests
+whenever it is large, and its memory does not grow with the partition. In it a cuckoo filter answers whether a digest may be live, a hit is
 verified against the stored content key (SHA-256 and byte length) of its bucket,
 and when a better row of the same text arrives, the live entry is deleted from
 the filter and the new one inserted. A filter that overflows doubles its buckets
@@ -23,6 +24,8 @@ from .common import col, text_or_empty, written
 
 SLOTS = 4
 MAX_KICKS = 256
+# Live keys at which an index is closed.
+INDEX_KEYS = 20_000
 
 
 class CuckooIndex:
@@ -142,26 +145,28 @@ def _merge(index: CuckooIndex, key: bytes, keep, row: int, size: int) -> None:
     index.insert(key, (kept, kept_row, count + size))
 
 
-def _indexed(whole: bool, smallest: int):
-    """Fold rows (key, keep, keep_row, size) through an index, per batch or per partition."""
+def _indexed(ordered: bool, smallest: int, keys: int = INDEX_KEYS):
+    """Fold rows (key, keep, keep_row, size) through indexes of about `keys` live keys.
+
+    Rows ordered by key give one entry a key; others one a key and index.
+    """
 
     def flush(index: CuckooIndex, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         entries = [(k, *v) for k, v in index.items() if v[2] >= smallest]
-        for begin in range(0, len(entries), 20_000):
-            columns = zip(*entries[begin : begin + 20_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], names=schema.names
-            )
+        if entries:
+            arrays = [pa.array(c, f.type) for c, f in zip(zip(*entries), schema)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, schema = CuckooIndex(), None
+        index, schema, last = CuckooIndex(), None, None
         for batch in batches:
             schema = batch.schema
             for entry in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(index) >= keys and not (ordered and entry[0] == last):
+                    yield from flush(index, schema)
+                    index = CuckooIndex()
+                last = entry[0]
                 _merge(index, *entry)
-            if not whole and len(index) > 20_000:
-                yield from flush(index, schema)
-                index = CuckooIndex()
         if schema is not None:
             yield from flush(index, schema)
 
@@ -169,7 +174,11 @@ def _indexed(whole: bool, smallest: int):
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    index_keys: int = INDEX_KEYS,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256, row.
 
@@ -192,8 +201,9 @@ def exact_dedup(
     entries = rows.select(
         "key", F.col("id").alias("keep"), F.col("number").alias("keep_row"), F.lit(1).cast("long").alias("size")
     )
-    partial = entries.mapInArrow(_indexed(whole=False, smallest=1), entries.schema)
-    groups = partial.repartition("key").mapInArrow(_indexed(whole=True, smallest=2), entries.schema)
+    partial = entries.mapInArrow(_indexed(ordered=False, smallest=1, keys=index_keys), entries.schema)
+    by_key = partial.repartition("key").sortWithinPartitions("key")
+    groups = by_key.mapInArrow(_indexed(ordered=True, smallest=2, keys=index_keys), entries.schema)
     return rows.join(groups, "key", "left").select(
         "id",
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep_id"),
