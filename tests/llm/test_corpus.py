@@ -420,6 +420,45 @@ def test_chat_windows(spark):
 
 
 def test_gradients_match_differences():
+    shape = gru.Shape(9, (0, 3, 6, 7, 8))
+    rng = np.random.default_rng(4)
+    vector = gru.initial(shape, np.ones(9)).astype(np.float64)
+    vector += rng.normal(0, 0.2, len(vector))
+    state = rng.normal(size=(5, gru.HIDDEN))
+    inputs, targets = rng.integers(0, 9, (2, 5, 6))
+    begins = (rng.random((5, 6)) < 0.2).astype(np.int64)
+
+    def loss(values):
+        """Mean negative log-likelihood, one stream and step at a time."""
+        p, total = gru.unpack(values, shape), 0.0
+        sigmoid = lambda x: 1 / (1 + np.exp(-x))
+        for row in range(5):
+            h = state[row]
+            for t in range(6):
+                h = h * (1 - begins[row, t])
+                x = p["input"][inputs[row, t]]
+                z, r = np.split(sigmoid(x[: 2 * gru.HIDDEN] + h @ p["gates"]), 2)
+                n = np.tanh(x[2 * gru.HIDDEN :] + r * (h @ p["state"]))
+                h = (1 - z) * n + z * h
+                y = targets[row, t]
+                c = max(i for i, s in enumerate(shape.class_starts) if s <= y)
+                begin, end = shape.class_starts[c], shape.class_ends[c]
+                by_class = np.exp(h @ p["classes"] + p["class_bias"])
+                within = np.exp(p["words"][begin:end] @ h + p["word_bias"][begin:end])
+                total -= np.log(by_class[c] / by_class.sum() * within[y - begin] / within.sum())
+        return total / 30
+
+    slope = np.zeros_like(vector)
+    p = gru.unpack(vector, shape)
+    gru.window_gradient(p, gru.unpack(slope, shape), shape, state, inputs, targets, begins)
+    size = 1e-5
+    for i in rng.choice(len(vector), 400, replace=False):
+        step = np.zeros_like(vector)
+        step[i] = size
+        assert slope[i] == pytest.approx((loss(vector + step) - loss(vector - step)) / (2 * size), abs=2e-6)
+
+
+def test_training_raises_likelihood_and_windows_do_not_matter():
     shape = gru.Shape(9, (0, 3, 6, 7, 8))
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, 9, 70) for _ in range(3)]

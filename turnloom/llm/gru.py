@@ -8,7 +8,6 @@ window and reset where a text begins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,39 +78,42 @@ def _step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    """Changes x in place."""
-    x -= x.max(axis=1, keepdims=True)
+    """Softmax of each column; changes x in place."""
+    x -= x.max(axis=0)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x /= x.sum(axis=0)
     return x
 
 
 def _log_softmax_at(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of the softmax at one column of each row; changes x."""
-    x -= x.max(axis=1, keepdims=True)
-    at = x[np.arange(len(x)), chosen]
-    return at - np.log(np.exp(x, out=x).sum(axis=1))
+    """Log of the softmax of each column at one row; changes x."""
+    x -= x.max(axis=0)
+    at = x[chosen, np.arange(x.shape[1])]
+    return at - np.log(np.exp(x, out=x).sum(axis=0))
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_class(shape: Shape, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, slice]]]:
+    """Classes of the targets, their order by class, and for each class of several symbols
+    its first and last symbol and its part of that order."""
+    classes = shape.class_of().astype(np.int16)[targets]
     order = np.argsort(classes, kind="stable")
-    present, first = np.unique(classes[order], return_index=True)
-    for c, begin, end in zip(present.tolist(), first, [*first[1:], len(order)]):
-        yield c, order[begin:end]
+    ends = np.cumsum(np.bincount(classes, minlength=len(shape.class_starts))).tolist()
+    parts = zip(shape.class_starts, shape.class_ends, [0, *ends], ends)
+    return classes, order, [(b, e, slice(i, j)) for b, e, i, j in parts if e - b > 1 and j > i]
 
 
 def log_likelihood(p: dict[str, np.ndarray], shape: Shape, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each target after its state."""
-    classes = shape.class_of()[targets]
-    out = _log_softmax_at(h @ p["classes"] + p["class_bias"], classes)
-    for c, rows in _by_class(classes):
-        begin, end = shape.class_starts[c], shape.class_ends[c]
-        if end - begin > 1:
-            out[rows] += _log_softmax_at(h[rows] @ p["words"][begin:end].T + p["word_bias"][begin:end], targets[rows] - begin)
+    classes, order, parts = _by_class(shape, targets)
+    out = _log_softmax_at(p["classes"].T @ h.T + p["class_bias"][:, None], classes)
+    h, targets = h[order], targets[order]
+    for begin, end, at in parts:
+        logits = p["words"][begin:end] @ h[at].T + p["word_bias"][begin:end, None]
+        out[order[at]] += _log_softmax_at(logits, targets[at] - begin)
     return out
 
 
-def text_scores(p: dict[str, np.ndarray], shape: Shape, texts: list[np.ndarray], start: int, at_once: int = 256) -> np.ndarray:
+def text_scores(p: dict[str, np.ndarray], shape: Shape, texts: list[np.ndarray], start: int, at_once: int = 1024) -> np.ndarray:
     """Natural log-likelihood of each whole symbol sequence.
 
     Texts of like length run side by side; the states of one window of steps are the
@@ -141,7 +143,7 @@ def text_scores(p: dict[str, np.ndarray], shape: Shape, texts: list[np.ndarray],
                 targets.append(window[:now, step + 1])
                 owners.append(rows[:now])
             score = log_likelihood(p, shape, np.concatenate(states), np.concatenate(targets))
-            np.add.at(totals, np.concatenate(owners), score.astype(np.float64))
+            totals += np.bincount(np.concatenate(owners), score, len(totals))
             at += steps
     return totals
 
@@ -167,6 +169,65 @@ def streams(texts: list[np.ndarray], start: int, count: int) -> tuple[np.ndarray
     return cut(inputs), cut(targets), cut(first).astype(np.int64)
 
 
+def window_gradient(
+    p: dict[str, np.ndarray],
+    g: dict[str, np.ndarray],
+    shape: Shape,
+    h: np.ndarray,
+    inputs: np.ndarray,
+    targets: np.ndarray,
+    begins: np.ndarray,
+) -> np.ndarray:
+    """Add to `g` the gradient of the mean negative log-likelihood of one window.
+
+    Rows are streams, columns are steps; `h` holds the states before the window, which
+    count as given. Returns the states after it.
+    """
+    rows, steps = inputs.shape
+    kept = []
+    for t in range(steps):
+        keep = (begins[:, t] == 0)[:, None].astype(np.float32)
+        before = h * keep
+        h, z, r, u, n = _step(p, p["input"][inputs[:, t]], before)
+        kept.append((before, z, r, u, n, keep, h))
+    hs = np.concatenate([k[-1] for k in kept])
+    ys = targets.T.ravel()
+    share = np.float32(1 / len(ys))
+    classes, order, parts = _by_class(shape, ys)
+    back = _softmax(p["classes"].T @ hs.T + p["class_bias"][:, None])
+    back[classes, np.arange(len(ys))] -= 1
+    g["classes"] += (back @ hs).T * share
+    g["class_bias"] += back.sum(1) * share
+    to_state = back.T @ p["classes"].T
+    hs, ys = hs[order], ys[order]
+    for begin, end, at in parts:
+        within = _softmax(p["words"][begin:end] @ hs[at].T + p["word_bias"][begin:end, None])
+        within[ys[at] - begin, np.arange(within.shape[1])] -= 1
+        g["words"][begin:end] += within @ hs[at] * share
+        g["word_bias"][begin:end] += within.sum(1) * share
+        to_state[order[at]] += within.T @ p["words"][begin:end]
+    to_state *= share
+    from_next = np.zeros((rows, HIDDEN), np.float32)
+    to_input = np.empty((steps, rows, 3 * HIDDEN), np.float32)
+    for t in range(steps - 1, -1, -1):
+        before, z, r, u, n, keep, _ = kept[t]
+        dh = to_state[t * rows : (t + 1) * rows] + from_next
+        dn = dh * (1 - z) * (1 - n * n)
+        gates = to_input[t, :, : 2 * HIDDEN]
+        gates[:, :HIDDEN] = dh * (before - n) * z * (1 - z)
+        gates[:, HIDDEN:] = dn * u * r * (1 - r)
+        du = dn * r
+        to_input[t, :, 2 * HIDDEN :] = dn
+        g["gates"] += before.T @ gates
+        g["state"] += before.T @ du
+        from_next = (dh * z + gates @ p["gates"].T + du @ p["state"].T) * keep
+    given = inputs.T.ravel().astype(np.uint16 if shape.symbols <= 1 << 16 else np.int64)
+    order = np.argsort(given, kind="stable")
+    symbols, firsts = np.unique(given[order], return_index=True)
+    g["input"][symbols] += np.add.reduceat(to_input.reshape(len(given), -1)[order], firsts)
+    return h
+
+
 def train(
     vector: np.ndarray,
     shape: Shape,
@@ -187,74 +248,34 @@ def train(
     p = unpack(vector, shape)
     slope = np.zeros_like(vector)
     g = unpack(slope, shape)
-    first_moment, second_moment = np.zeros_like(vector), np.zeros_like(vector)
+    first_moment, second_moment, size = (np.zeros_like(vector) for _ in range(3))
     tokens = sum(map(len, texts))
     inputs, targets, begins = streams(texts, start, min(parallel, max(parallel // 4, tokens // (window * least_updates))))
     rate *= max(1.0, len(inputs) / (parallel / 4)) ** 0.5
     updates = 0
-    classes_of = shape.class_of()
     windows = -(-inputs.shape[1] // window)
     for _ in range(max(1, -(-least_updates // windows))):
         h = np.zeros((len(inputs), HIDDEN), np.float32)
         for at in range(0, inputs.shape[1], window):
             slope[:] = 0
             rows = np.flatnonzero(inputs[:, at] >= 0)
-            steps = int((inputs[rows[-1], at : at + window] >= 0).sum())
-            if len(rows) > 1:  # streams other than the last may end inside the window
-                steps = int((inputs[rows[0], at : at + window] >= 0).sum())
-            kept = []
-            h_now = h[rows]
-            for t in range(at, at + steps):
-                keep = (begins[rows, t] == 0)[:, None].astype(np.float32)
-                before = h_now * keep
-                h_now, z, r, u, n = _step(p, p["input"][inputs[rows, t]], before)
-                kept.append((before, z, r, u, n, keep, h_now))
-            h[rows] = h_now
-            hs = np.concatenate([k[-1] for k in kept])
-            ys = targets[rows, at : at + steps].T.ravel()
-            classes = classes_of[ys]
-            share = np.float32(1 / len(ys))
-            back = _softmax(hs @ p["classes"] + p["class_bias"])
-            back[np.arange(len(ys)), classes] -= 1
-            back *= share
-            g["classes"] += hs.T @ back
-            g["class_bias"] += back.sum(0)
-            to_state = back @ p["classes"].T
-            for c, chosen in _by_class(classes):
-                begin, end = shape.class_starts[c], shape.class_ends[c]
-                if end - begin < 2:
-                    continue
-                within = _softmax(hs[chosen] @ p["words"][begin:end].T + p["word_bias"][begin:end])
-                within[np.arange(len(chosen)), ys[chosen] - begin] -= 1
-                within *= share
-                g["words"][begin:end] += within.T @ hs[chosen]
-                g["word_bias"][begin:end] += within.sum(0)
-                to_state[chosen] += within @ p["words"][begin:end]
-            from_next = np.zeros((len(rows), HIDDEN), np.float32)
-            to_input = np.empty((steps, len(rows), 3 * HIDDEN), np.float32)
-            for t in range(steps - 1, -1, -1):
-                before, z, r, u, n, keep, _ = kept[t]
-                dh = to_state[t * len(rows) : (t + 1) * len(rows)] + from_next
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (before - n) * z * (1 - z)
-                dr = dn * u * r * (1 - r)
-                du = dn * r
-                gates = np.hstack([dz, dr])
-                g["gates"] += before.T @ gates
-                g["state"] += before.T @ du
-                to_input[t, :, : 2 * HIDDEN], to_input[t, :, 2 * HIDDEN :] = gates, dn
-                from_next = (dh * z + gates @ p["gates"].T + du @ p["state"].T) * keep
-            given = inputs[rows, at : at + steps].T.ravel()
-            order = np.argsort(given, kind="stable")
-            symbols, firsts = np.unique(given[order], return_index=True)
-            g["input"][symbols] = np.add.reduceat(to_input.reshape(len(given), -1)[order], firsts)
+            # Streams other than the last may end inside the window.
+            steps = int((inputs[rows[0], at : at + window] >= 0).sum())
+            part = (rows, slice(at, at + steps))
+            h[rows] = window_gradient(p, g, shape, h[rows], inputs[part], targets[part], begins[part])
             np.clip(slope, -0.05, 0.05, out=slope)
             updates += 1
-            first_moment += np.float32(0.1) * (slope - first_moment)
+            np.subtract(slope, first_moment, out=size)
+            size *= np.float32(0.1)
+            first_moment += size
             slope *= slope
-            second_moment += np.float32(0.01) * (slope - second_moment)
-            size = np.sqrt(second_moment)
+            slope -= second_moment
+            slope *= np.float32(0.01)
+            second_moment += slope
+            np.sqrt(second_moment, out=size)
             size *= np.float32((1 - 0.99**updates) ** -0.5)
             size += np.float32(1e-6)
-            vector -= np.float32(rate / (1 - 0.9**updates)) * first_moment / size
+            np.divide(first_moment, size, out=size)
+            size *= np.float32(rate / (1 - 0.9**updates))
+            vector -= size
     return vector

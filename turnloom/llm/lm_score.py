@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from .common import col, crc32_text, nullable, text_or_empty, written
 HEAD_WORDS = 2_000
 HEAD_CLASSES = 32
 TAIL_SYMBOLS = 32
+# Tail symbols of one class of the softmax.
+TAIL_CLASS = 8
 BLOCK_BYTES = 12 << 20
 # Each training document is shown in one of so many rounds.
 ROUNDS = 4
@@ -48,6 +51,14 @@ def tail_symbol(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_SYMBOLS
 
 
+def numbered() -> defaultdict[bytes, int]:
+    """Numbers of words in the order of their first use; the end is 0."""
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    known[END] = 0
+    return known
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     """Rows of two kinds. Documents: block, id, held_out, codes. Words: block, word, tail,
     code, n_train (occurrences in the block's training documents)."""
@@ -68,8 +79,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
-        known: dict[bytes, int] = {END: 0}
-        counted = np.zeros(1 << 16, np.int64)
+        known = numbered()
+        counted = np.zeros(1, np.int64)
         seen = 0
 
         def listed() -> Iterator[pa.RecordBatch]:
@@ -92,20 +103,19 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
         id_type = pa.null()
         for batch in batches:
             id_type = batch.column("id").type
-            codes = []
-            for text, apart in zip(batch.column("text"), batch.column("held_out").to_pylist()):
-                found = text.as_py().encode("utf-8").lower().split()
+            codes, shown = [], [np.empty(0, np.int32)]
+            for text, apart in zip(batch.column("text").cast(pa.binary()), batch.column("held_out").to_pylist()):
+                found = text.as_py()
+                seen += len(found)
+                found = found.lower().split()
                 found.append(END)
-                seen += len(text.as_py())
-                fresh = set(found).difference(known)
-                known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
                 row = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
                 codes.append(row.tobytes())
-                if len(known) > len(counted):
-                    counted = np.pad(counted, (0, max(len(known), 2 * len(counted)) - len(counted)))
                 if not apart:
-                    numbers, times = np.unique(row, return_counts=True)
-                    counted[numbers] += times
+                    shown.append(row)
+            times = np.bincount(np.concatenate(shown), minlength=len(known))
+            times[: len(counted)] += counted
+            counted = times
             n = batch.num_rows
             columns = {
                 "block": pa.array(np.full(n, block)),
@@ -120,8 +130,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
             if seen >= block_bytes:
                 yield from listed()
-                block, known, seen = block + 1, {END: 0}, 0
-                counted = np.zeros(1 << 16, np.int64)
+                block, known, seen = block + 1, numbered(), 0
+                counted = np.zeros(1, np.int64)
         if seen or len(known) > 1 or counted[0] or id_type != pa.null():
             yield from listed()
 
@@ -242,7 +252,7 @@ def language_model_scores(
     frequency = np.array([r["c"] for r in top], np.float64)
     mass = np.cumsum(np.sqrt(frequency))
     bins = np.searchsorted(mass, np.arange(HEAD_CLASSES) * (mass[-1] / HEAD_CLASSES)) if len(top) else np.empty(0, int)
-    starts = (*np.unique(bins).tolist(), *range(len(head), len(head) + TAIL_SYMBOLS))
+    starts = (*np.unique(bins).tolist(), *range(len(head), len(head) + TAIL_SYMBOLS, TAIL_CLASS))
     shape = gru.Shape(len(head) + TAIL_SYMBOLS, tuple(int(s) for s in starts))
     start = head.get(END, len(head))
     vector = gru.initial(shape, np.concatenate([frequency, tails[:, 0]]))
