@@ -490,6 +490,54 @@ def test_lm_base_scores(docs, empty):
     assert lm_score.language_model_scores(empty).count() == 0
 
 
+def test_lm_scores_match_a_plain_model(docs, monkeypatch):
+    last, average = {}, lm_score._averaged
+
+    def kept(encoded, vector, shape, start):
+        last.update(vector=average(encoded, vector, shape, start), shape=shape, start=start)
+        return last["vector"]
+
+    monkeypatch.setattr(lm_score, "_averaged", kept)
+    monkeypatch.setattr(lm_score, "HEAD_WORDS", 6)
+    found = lm_score.language_model_scores(docs, block_bytes=4_000).collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    tokens = lambda t: [*t.encode().lower().split(), b""]
+    counts = Counter(w for i, t in given() if not held(i) for w in tokens(t))
+    head = sorted(counts, key=lambda w: (-counts[w], w))[:6]
+    tail = lambda w: zlib.crc32(w[-2:]) % 32
+    in_tail, kinds = Counter(), Counter()
+    for word in counts.keys() - set(head):
+        in_tail[tail(word)] += counts[word]
+        kinds[tail(word)] += 1
+    shape = last["shape"]
+    p = {name: value.astype(np.float64) for name, value in gru.unpack(last["vector"], shape).items()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def score(text):
+        h, before, total = np.zeros(gru.HIDDEN), last["start"], 0.0
+        for word in tokens(text):
+            y = head.index(word) if word in head else 6 + tail(word)
+            if y >= 6:
+                own = counts[word] - 0.5 if counts[word] else 0.5 * kinds[y - 6] + 0.5
+                total += np.log10(own / (in_tail[y - 6] + 0.5))
+            x = p["input"][before]
+            z, r = np.split(sigmoid(x[: 2 * gru.HIDDEN] + h @ p["gates"]), 2)
+            h = (1 - z) * np.tanh(x[2 * gru.HIDDEN :] + r * (h @ p["state"])) + z * h
+            c = max(i for i, s in enumerate(shape.class_starts) if s <= y)
+            begin, end = shape.class_starts[c], shape.class_ends[c]
+            classes = np.exp(h @ p["classes"] + p["class_bias"])
+            within = np.exp(p["words"][begin:end] @ h + p["word_bias"][begin:end])
+            total += np.log10(classes[c] / classes.sum() * within[y - begin] / within.sum())
+            before = y
+        return total
+
+    key = lambda r: (str(r[0]), r[1])
+    got = sorted(((r.id, r.score) for r in found), key=key)
+    want = sorted(((i, score(t)) for i, t in given()), key=key)
+    assert [str(i) for i, _ in got] == [str(i) for i, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-4, abs=1e-4)
+
+
 def test_lm_shows_every_training_document_once(docs, monkeypatch):
     shown, average = Counter(), lm_score._averaged
 
