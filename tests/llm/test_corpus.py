@@ -475,6 +475,36 @@ def test_training_raises_likelihood_and_windows_do_not_matter():
     assert np.exp(gru.log_likelihood(p, shape, np.repeat(h, 9, 0), np.arange(9))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_windows_in_one_room_give_the_gradients_of_windows_apart():
+    shape = gru.Shape(9, (0, 3, 6, 7, 8))
+    rng = np.random.default_rng(6)
+    vector = gru.initial(shape, np.ones(9))
+    p, room = gru.unpack(vector, shape), gru.Room()
+    for rows, steps in ((5, 6), (7, 4), (2, 9), (5, 6)):
+        state = rng.normal(size=(rows, gru.HIDDEN)).astype(np.float32)
+        inputs, targets = rng.integers(0, 9, (2, rows, steps), np.int32)
+        begins = (rng.random((rows, steps)) < 0.2).astype(np.int32)
+        shared, alone = np.zeros_like(vector), np.zeros_like(vector)
+        after = gru.window_gradient(p, gru.unpack(shared, shape), shape, state, inputs, targets, begins, room)
+        other = gru.window_gradient(p, gru.unpack(alone, shape), shape, state, inputs, targets, begins)
+        assert np.array_equal(shared, alone) and np.array_equal(after, other)
+
+
+def test_lm_small_rest_is_not_shown_again_and_again(spark, monkeypatch):
+    shape = gru.Shape(9, (0, 3, 6, 7, 8))
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 9, 70).astype(np.uint16) for _ in range(40)]
+    vector = gru.initial(shape, np.ones(9))
+    rows = spark.createDataFrame([(t.tobytes(),) for t in texts], "symbols binary").coalesce(1)
+    monkeypatch.setattr(lm_score, "TRAIN_TOKENS", 2_000)
+    found = lm_score._averaged(rows, vector, shape, 0)
+    assert np.allclose(found, gru.train(vector, shape, texts, 0), atol=1e-5)
+    for sizes in ([], [3], [10], [9, 2], [10, 4], [10, 5], [10, 10], [4, 30, 1, 1], [3] * 17):
+        made = list(lm_score.groups((np.full(n, i) for i, n in enumerate(sizes)), 10))
+        assert [len(t) for g in made for t in g] == sizes
+        assert all(sum(map(len, g)) >= 5 for g in made) or sum(sizes) < 5
+
+
 def test_lm_base_scores(docs, empty):
     found = lm_score.language_model_scores(docs, block_bytes=4_000).collect()
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1

@@ -65,51 +65,103 @@ def initial(shape: Shape, counts: np.ndarray, seed: int = 11) -> np.ndarray:
     return vector
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
+class Room:
+    """Arrays that are used again from window to window: fresh memory would cost more than the work in it."""
 
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
 
-def _step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
-    gates = _sigmoid(x[:, : 2 * HIDDEN] + h @ p["gates"])
-    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    u = h @ p["state"]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * u)
-    return n + z * (h - n), z, r, u, n
+    def array(self, name: str, size: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        n = int(np.prod(size))
+        if name not in self.held or self.held[name].size < n or self.held[name].dtype != dtype:
+            self.held[name] = np.empty(n, dtype)
+        return self.held[name][:n].reshape(size)
+
+
+def _weights(p: dict[str, np.ndarray]) -> np.ndarray:
+    """Weights of the last state: three square blocks, for the gates z and r and the new state."""
+    return np.stack([p["gates"][:, :HIDDEN], p["gates"][:, HIDDEN:], p["state"]])
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each column; changes x in place."""
+def _inputs(p: dict[str, np.ndarray], symbols: np.ndarray, room: Room) -> np.ndarray:
+    """What the symbols add to z, r and the new state: three contiguous blocks, a row for each symbol."""
+    table = p["input"].reshape(-1, HIDDEN)
+    x = room.array("x", (3, len(symbols), HIDDEN), table.dtype)
+    # With mode="raise" take would copy once more.
+    return table.take(3 * symbols + np.arange(3)[:, None], axis=0, out=x, mode="clip")
+
+
+def _class_logits(p: dict[str, np.ndarray], hs: np.ndarray, room: Room) -> np.ndarray:
+    """A column of class logits for each state."""
+    x = np.matmul(p["classes"].T, hs.T, out=room.array("logits", (p["classes"].shape[1], len(hs)), hs.dtype))
+    x += p["class_bias"][:, None]
+    return x
+
+
+def _step(w: np.ndarray, x: np.ndarray, h: np.ndarray, gates: np.ndarray, u: np.ndarray, n: np.ndarray, after: np.ndarray) -> None:
+    """The states `after` the symbols of `x`; fills the last four arrays."""
+    half = np.float32(0.5)
+    np.matmul(h, w[:2], out=gates)
+    gates += x[:2]
+    gates *= half
+    np.tanh(gates, out=gates)
+    gates *= half
+    gates += half
+    z, r = gates
+    np.matmul(h, w[2], out=u)
+    np.multiply(r, u, out=n)
+    n += x[2]
+    np.tanh(n, out=n)
+    np.subtract(h, n, out=after)
+    after *= z
+    after += n
+
+
+def _softmax(x: np.ndarray, weight: float) -> np.ndarray:
+    """Softmax of each column times `weight`; changes x in place."""
     x -= x.max(axis=0)
     np.exp(x, out=x)
-    x /= x.sum(axis=0)
+    x *= x.dtype.type(weight) / x.sum(axis=0)
     return x
 
 
-def _log_softmax_at(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each column at one row; changes x."""
+def _log_softmax_at(x: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each column at one place of the flat array; changes x."""
     x -= x.max(axis=0)
-    at = x[chosen, np.arange(x.shape[1])]
+    at = x.ravel().take(places)
     return at - np.log(np.exp(x, out=x).sum(axis=0))
 
 
-def _by_class(shape: Shape, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, slice]]]:
-    """Classes of the targets, their order by class, and for each class of several symbols
-    its first and last symbol and its part of that order."""
+def _by_class(shape: Shape, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, slice]]]:
+    """The order of the targets by class; the places of the ordered targets in the flat
+    logits of all classes and in those of their class, a column for each target; and for
+    each class of several symbols its first and last symbol and its part of that order."""
     classes = shape.class_of().astype(np.int16)[targets]
     order = np.argsort(classes, kind="stable")
-    ends = np.cumsum(np.bincount(classes, minlength=len(shape.class_starts))).tolist()
-    parts = zip(shape.class_starts, shape.class_ends, [0, *ends], ends)
-    return classes, order, [(b, e, slice(i, j)) for b, e, i, j in parts if e - b > 1 and j > i]
-
-
-def log_likelihood(p: dict[str, np.ndarray], shape: Shape, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    counts = np.bincount(classes, minlength=len(shape.class_starts))
+    ends = np.cumsum(counts)
+    classes, targets = classes[order], targets[order]
+    column = np.arange(len(targets))
+    among_classes = classes * np.int64(len(targets)) + column
+    within = (targets - np.array(shape.class_starts)[classes]) * counts[classes] + column - (ends - counts)[classes]
+    parts = zip(shape.class_starts, shape.class_ends, (ends - counts).tolist(), ends.tolist())
+    return order, among_classes, within, [(b, e, slice(i, j)) for b, e, i, j in parts if e - b > 1 and j > i]
+
+
+def log_likelihood(
+    p: dict[str, np.ndarray], shape: Shape, h: np.ndarray, targets: np.ndarray, room: Room | None = None
+) -> np.ndarray:
     """Natural log of the probability of each target after its state."""
-    classes, order, parts = _by_class(shape, targets)
-    out = _log_softmax_at(p["classes"].T @ h.T + p["class_bias"][:, None], classes)
-    h, targets = h[order], targets[order]
+    room = room or Room()
+    order, among_classes, within, parts = _by_class(shape, targets)
+    h = h.take(order, axis=0, out=room.array("by_class", h.shape, h.dtype), mode="clip")
+    score = _log_softmax_at(_class_logits(p, h, room), among_classes)
     for begin, end, at in parts:
-        logits = p["words"][begin:end] @ h[at].T + p["word_bias"][begin:end, None]
-        out[order[at]] += _log_softmax_at(logits, targets[at] - begin)
+        logits = p["words"][begin:end] @ h[at].T
+        logits += p["word_bias"][begin:end, None]
+        score[at] += _log_softmax_at(logits, within[at])
+    out = np.empty_like(score)
+    out[order] = score
     return out
 
 
@@ -121,39 +173,42 @@ def text_scores(p: dict[str, np.ndarray], shape: Shape, texts: list[np.ndarray],
     """
     totals = np.zeros(len(texts))
     order = np.argsort([-len(t) for t in texts], kind="stable")
+    w, room = _weights(p), Room()
     for begin in range(0, len(order), at_once):
         rows = order[begin : begin + at_once]
         lengths = np.array([len(texts[i]) for i in rows])
-        h = np.zeros((len(rows), HIDDEN), np.float32)
+        # Each text with the start before it.
+        given = np.concatenate([part for i in rows for part in ([start], texts[i])], dtype=np.int32, casting="unsafe")
+        firsts = np.cumsum(lengths + 1) - lengths - 1
+        h = np.zeros((len(rows), HIDDEN), p["state"].dtype)
         at = 0
         while at < lengths[0]:
             live = int((lengths > at).sum())
             steps = min(int(lengths[0]) - at, max(16, 16_384 // live))
-            window = np.full((live, steps + 1), start, np.int64)
-            for k in range(live):
-                text = texts[rows[k]]
-                part = text[max(0, at - 1) : at + steps]
-                offset = 1 if at == 0 else 0
-                window[k, offset : offset + len(part)] = part
-            states, targets, owners = [], [], []
-            for step in range(steps):
-                now = int((lengths[:live] > at + step).sum())
-                h[:now] = _step(p, p["input"][window[:now, step]], h[:now])[0]
-                states.append(h[:now].copy())
-                targets.append(window[:now, step + 1])
-                owners.append(rows[:now])
-            score = log_likelihood(p, shape, np.concatenate(states), np.concatenate(targets))
-            totals += np.bincount(np.concatenate(owners), score, len(totals))
+            counts = [int((lengths[:live] > at + step).sum()) for step in range(steps)]
+            places = np.concatenate([firsts[:now] + (at + step) for step, now in enumerate(counts)])
+            x = _inputs(p, given[places], room)
+            states = room.array("states", x[0].shape, x.dtype)
+            gates, u, n = (np.empty((k, live, HIDDEN), x.dtype) for k in (2, 1, 1))
+            end = 0
+            for now in counts:
+                part = slice(end, end + now)
+                _step(w, x[:, part], h[:now], gates[:, :now], u[0, :now], n[0, :now], states[part])
+                h, end = states[part], end + now
+            h = h.copy()
+            score = log_likelihood(p, shape, states, given[places + 1], room)
+            owners = np.concatenate([rows[:now] for now in counts])
+            totals += np.bincount(owners, score, len(totals))
             at += steps
     return totals
 
 
 def streams(texts: list[np.ndarray], start: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets and first-of-text marks of all texts, cut into parallel streams."""
-    targets = np.concatenate(texts)
+    targets = np.concatenate(texts).astype(np.int32)
     first = np.zeros(len(targets), bool)
     first[np.concatenate(([0], np.cumsum([len(t) for t in texts])[:-1]))] = True
-    inputs = np.concatenate(([start], targets[:-1]))
+    inputs = np.concatenate((np.array([start], np.int32), targets[:-1]))
     inputs[first] = start
     count = max(1, min(count, len(targets) // 64))
     long = len(targets) // count
@@ -161,12 +216,12 @@ def streams(texts: list[np.ndarray], start: int, count: int) -> tuple[np.ndarray
     rest = slice(count * long, None)
     if len(targets) > count * long:  # the remainder lengthens the last stream
         pad = long + len(targets) - count * long
-        shapes = np.full((3, count, pad), -1, np.int64)
+        shapes = np.full((3, count, pad), -1, np.int32)
         for i, x in enumerate((inputs, targets, first)):
             shapes[i, :, :long] = cut(x)
             shapes[i, -1, long:] = x[rest]
         return shapes[0], shapes[1], shapes[2]
-    return cut(inputs), cut(targets), cut(first).astype(np.int64)
+    return cut(inputs), cut(targets), cut(first).astype(np.int32)
 
 
 def window_gradient(
@@ -177,54 +232,85 @@ def window_gradient(
     inputs: np.ndarray,
     targets: np.ndarray,
     begins: np.ndarray,
+    room: Room | None = None,
 ) -> np.ndarray:
     """Add to `g` the gradient of the mean negative log-likelihood of one window.
 
     Rows are streams, columns are steps; `h` holds the states before the window, which
-    count as given. Returns the states after it.
+    count as given. Returns the states after it, which the next window in `room` overwrites.
     """
+    room = room or Room()
     rows, steps = inputs.shape
-    kept = []
+    given, ys = inputs.T.ravel(), targets.T.ravel()
+    w, x = _weights(p), _inputs(p, given, room).reshape(3, steps, rows, HIDDEN)
+    firsts = [np.flatnonzero(begins[:, t]) for t in range(steps)]
+    size = (steps, rows, HIDDEN)
+    gates, slopes = room.array("gates", (2, *size), x.dtype), room.array("slopes", (4, *size), x.dtype)
+    before, u, n, states, to_state = room.array("steps", (5, *size), x.dtype)
     for t in range(steps):
-        keep = (begins[:, t] == 0)[:, None].astype(np.float32)
-        before = h * keep
-        h, z, r, u, n = _step(p, p["input"][inputs[:, t]], before)
-        kept.append((before, z, r, u, n, keep, h))
-    hs = np.concatenate([k[-1] for k in kept])
-    ys = targets.T.ravel()
-    share = np.float32(1 / len(ys))
-    classes, order, parts = _by_class(shape, ys)
-    back = _softmax(p["classes"].T @ hs.T + p["class_bias"][:, None])
-    back[classes, np.arange(len(ys))] -= 1
-    g["classes"] += (back @ hs).T * share
-    g["class_bias"] += back.sum(1) * share
-    to_state = back.T @ p["classes"].T
-    hs, ys = hs[order], ys[order]
+        before[t] = h
+        before[t, firsts[t]] = 0
+        _step(w, x[:, t], before[t], gates[:, t], u[t], n[t], states[t])
+        h = states[t]
+    # The softmaxes see the states by the classes of their targets.
+    share = 1 / len(ys)
+    order, among_classes, in_class, parts = _by_class(shape, ys)
+    hs, by_class = room.array("by_class", (2, len(ys), HIDDEN), x.dtype)
+    states.reshape(-1, HIDDEN).take(order, axis=0, out=hs, mode="clip")
+    back = _softmax(_class_logits(p, hs, room), share)
+    back.ravel()[among_classes] -= share
+    g["classes"] += (back @ hs).T
+    g["class_bias"] += back.sum(1)
+    np.matmul(back.T, p["classes"].T, out=by_class)
     for begin, end, at in parts:
-        within = _softmax(p["words"][begin:end] @ hs[at].T + p["word_bias"][begin:end, None])
-        within[ys[at] - begin, np.arange(within.shape[1])] -= 1
-        g["words"][begin:end] += within @ hs[at] * share
-        g["word_bias"][begin:end] += within.sum(1) * share
-        to_state[order[at]] += within.T @ p["words"][begin:end]
-    to_state *= share
-    from_next = np.zeros((rows, HIDDEN), np.float32)
-    to_input = np.empty((steps, rows, 3 * HIDDEN), np.float32)
+        within = p["words"][begin:end] @ hs[at].T
+        within += p["word_bias"][begin:end, None]
+        _softmax(within, share)
+        within.ravel()[in_class[at]] -= share
+        g["words"][begin:end] += within @ hs[at]
+        g["word_bias"][begin:end] += within.sum(1)
+        by_class[at] += within.T @ p["words"][begin:end]
+    to_state.reshape(-1, HIDDEN)[order] = by_class
+    # Slopes for z, r, the state's part of the new state (before r) and the new state.
+    back_w = np.ascontiguousarray(w.transpose(0, 2, 1))
+    from_next = np.zeros_like(states[0])
     for t in range(steps - 1, -1, -1):
-        before, z, r, u, n, keep, _ = kept[t]
-        dh = to_state[t * rows : (t + 1) * rows] + from_next
-        dn = dh * (1 - z) * (1 - n * n)
-        gates = to_input[t, :, : 2 * HIDDEN]
-        gates[:, :HIDDEN] = dh * (before - n) * z * (1 - z)
-        gates[:, HIDDEN:] = dn * u * r * (1 - r)
-        du = dn * r
-        to_input[t, :, 2 * HIDDEN :] = dn
-        g["gates"] += before.T @ gates
-        g["state"] += before.T @ du
-        from_next = (dh * z + gates @ p["gates"].T + du @ p["state"].T) * keep
-    given = inputs.T.ravel().astype(np.uint16 if shape.symbols <= 1 << 16 else np.int64)
+        z, r = gates[:, t]
+        dz, dr, du, dn = slopes[:, t]
+        dh = to_state[t]
+        dh += from_next
+        rest = 1 - z
+        np.multiply(n[t], n[t], out=dn)
+        np.subtract(1, dn, out=dn)
+        dn *= rest
+        dn *= dh
+        np.subtract(before[t], n[t], out=dz)
+        dz *= rest
+        dh *= z
+        dz *= dh
+        np.multiply(dn, r, out=du)
+        np.subtract(1, r, out=dr)
+        dr *= u[t]
+        dr *= du
+        of_z, of_r, of_u = np.matmul(slopes[:3, t], back_w)
+        from_next = dh
+        from_next += of_z
+        from_next += of_r
+        from_next += of_u
+        from_next[firsts[t]] = 0
+    to_z, to_r, to_u = np.matmul(before.reshape(-1, HIDDEN).T, slopes[:3].reshape(3, -1, HIDDEN))
+    g["gates"][:, :HIDDEN] += to_z
+    g["gates"][:, HIDDEN:] += to_r
+    g["state"] += to_u
+    given = given.astype(np.uint16 if shape.symbols <= 1 << 16 else np.int64)
     order = np.argsort(given, kind="stable")
     symbols, firsts = np.unique(given[order], return_index=True)
-    g["input"][symbols] += np.add.reduceat(to_input.reshape(len(given), -1)[order], firsts)
+    to_input = room.array("to_input", (3, len(given), HIDDEN), x.dtype)
+    for k, at in enumerate((0, 1, 3)):
+        slopes[at].reshape(-1, HIDDEN).take(order, axis=0, out=to_input[k], mode="clip")
+    # Two neighbours add up as one complex number, in half the steps.
+    pairs = np.add.reduceat(to_input.view(np.result_type(x, np.complex64)), firsts, axis=1)
+    g["input"].reshape(-1, 3, HIDDEN)[symbols] += pairs.view(x.dtype).transpose(1, 0, 2)
     return h
 
 
@@ -248,11 +334,12 @@ def train(
     p = unpack(vector, shape)
     slope = np.zeros_like(vector)
     g = unpack(slope, shape)
+    # The moments without their factors of 0.1 and 0.01, which join the rate.
     first_moment, second_moment, size = (np.zeros_like(vector) for _ in range(3))
     tokens = sum(map(len, texts))
     inputs, targets, begins = streams(texts, start, min(parallel, max(parallel // 4, tokens // (window * least_updates))))
     rate *= max(1.0, len(inputs) / (parallel / 4)) ** 0.5
-    updates = 0
+    updates, room = 0, Room()
     windows = -(-inputs.shape[1] // window)
     for _ in range(max(1, -(-least_updates // windows))):
         h = np.zeros((len(inputs), HIDDEN), np.float32)
@@ -262,20 +349,18 @@ def train(
             # Streams other than the last may end inside the window.
             steps = int((inputs[rows[0], at : at + window] >= 0).sum())
             part = (rows, slice(at, at + steps))
-            h[rows] = window_gradient(p, g, shape, h[rows], inputs[part], targets[part], begins[part])
+            h[rows] = window_gradient(p, g, shape, h[rows], inputs[part], targets[part], begins[part], room)
             np.clip(slope, -0.05, 0.05, out=slope)
             updates += 1
-            np.subtract(slope, first_moment, out=size)
-            size *= np.float32(0.1)
-            first_moment += size
+            first_moment *= np.float32(0.9)
+            first_moment += slope
             slope *= slope
-            slope -= second_moment
-            slope *= np.float32(0.01)
+            second_moment *= np.float32(0.99)
             second_moment += slope
+            root = (0.01 / (1 - 0.99**updates)) ** 0.5
             np.sqrt(second_moment, out=size)
-            size *= np.float32((1 - 0.99**updates) ** -0.5)
-            size += np.float32(1e-6)
+            size += np.float32(1e-6 / root)
             np.divide(first_moment, size, out=size)
-            size *= np.float32(rate / (1 - 0.9**updates))
+            size *= np.float32(0.1 * rate / (1 - 0.9**updates) / root)
             vector -= size
     return vector

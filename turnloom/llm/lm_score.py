@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ TAIL_CLASS = 8
 BLOCK_BYTES = 12 << 20
 # Each training document is shown in one of so many rounds.
 ROUNDS = 4
-# A replica trains on so many tokens at once (or one longer text), which bounds its memory.
+# A replica trains on so many tokens at once (up to half as many more, or one longer text), which bounds its memory.
 TRAIN_TOKENS = 1 << 20
 VALUES_PER_ROW = 4_096
 END = b""
@@ -177,18 +177,30 @@ def _round(id_col: str) -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(ROUNDS))
 
 
+def groups(texts: Iterable[np.ndarray], tokens: int) -> Iterator[list[np.ndarray]]:
+    """All texts in groups of `tokens` tokens or more. A rest of under half as many joins the
+    group before it: by itself it would take as many updates, and so be shown again and again."""
+    before, now, held = [], [], 0
+    for text in texts:
+        now.append(text)
+        held += len(text)
+        if before and held >= tokens // 2:
+            yield before
+            before = []
+        if held >= tokens:
+            before, now, held = now, [], 0
+    if before or now:
+        yield before + now
+
+
 def _averaged(encoded: DataFrame, vector: np.ndarray, shape: gru.Shape, start: int) -> np.ndarray:
     """Train one replica for each partition and average them, weighted by their tokens."""
 
     def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, weight, texts, held = vector, 0.0, [], 0
-        for symbols in (s for b in batches for s in b.column("symbols")):
-            texts.append(np.frombuffer(symbols.as_py(), np.uint16).astype(np.int64))
-            held += len(texts[-1])
-            if held >= TRAIN_TOKENS:
-                now, weight, texts, held = gru.train(now, shape, texts, start), weight + held, [], 0
-        if texts:
-            now, weight = gru.train(now, shape, texts, start), weight + held
+        now, weight = vector, 0.0
+        shown = (np.frombuffer(s.as_py(), np.uint16) for b in batches for s in b.column("symbols"))
+        for texts in groups(shown, TRAIN_TOKENS):
+            now, weight = gru.train(now, shape, texts, start), weight + sum(map(len, texts))
         if not weight:
             return
         trained = now.astype(np.float64) * weight
@@ -268,7 +280,7 @@ def language_model_scores(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = [np.frombuffer(s.as_py(), np.uint16).astype(np.int64) for s in batch.column("symbols")]
+            texts = [np.frombuffer(s.as_py(), np.uint16) for s in batch.column("symbols")]
             score = gru.text_scores(p, shape, texts, start) / np.log(10)
             score = score + batch.column("tail_score").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
