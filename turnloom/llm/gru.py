@@ -337,7 +337,9 @@ def train(
     # The moments without their factors of 0.1 and 0.01, which join the rate.
     first_moment, second_moment, size = (np.zeros_like(vector) for _ in range(3))
     tokens = sum(map(len, texts))
-    inputs, targets, begins = streams(texts, start, min(parallel, max(parallel // 4, tokens // (window * least_updates))))
+    count = min(parallel, max(parallel // 4, tokens // (window * least_updates)))
+    # Step by step, as the windows read them.
+    inputs, targets, begins = (x.T.copy().T for x in streams(texts, start, count))
     rate *= max(1.0, len(inputs) / (parallel / 4)) ** 0.5
     updates, room = 0, Room()
     windows = -(-inputs.shape[1] // window)
@@ -348,7 +350,7 @@ def train(
             rows = np.flatnonzero(inputs[:, at] >= 0)
             # Streams other than the last may end inside the window.
             steps = int((inputs[rows[0], at : at + window] >= 0).sum())
-            part = (rows, slice(at, at + steps))
+            part = (slice(None) if len(rows) == len(inputs) else rows, slice(at, at + steps))
             h[rows] = window_gradient(p, g, shape, h[rows], inputs[part], targets[part], begins[part], room)
             np.clip(slope, -0.05, 0.05, out=slope)
             updates += 1

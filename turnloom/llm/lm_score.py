@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import col, crc32_text, nullable, text_or_empty, written
+from .common import col, crc32_text, nullable, pieces, text_or_empty, written
 
 HEAD_WORDS = 2_000
 HEAD_CLASSES = 32
@@ -34,6 +34,8 @@ TAIL_SYMBOLS = 32
 # Tail symbols of one class of the softmax.
 TAIL_CLASS = 8
 BLOCK_BYTES = 12 << 20
+# Texts of so many bytes (or one longer text) are numbered at once, which bounds a task's memory.
+PIECE_BYTES = 2 << 20
 # Each training document is shown in one of so many rounds.
 ROUNDS = 4
 # A replica trains on so many tokens at once (up to half as many more, or one longer text), which bounds its memory.
@@ -100,9 +102,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
                 }
                 yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
-        id_type = pa.null()
-        for batch in batches:
-            id_type = batch.column("id").type
+        def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal seen, counted
             codes, shown = [], [np.empty(0, np.int32)]
             for text, apart in zip(batch.column("text").cast(pa.binary()), batch.column("held_out").to_pylist()):
                 found = text.as_py()
@@ -127,7 +128,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
                 "code": pa.nulls(n, pa.int32()),
                 "n_train": pa.nulls(n, pa.int64()),
             }
-            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+            return pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+        id_type = pa.null()
+        for batch in batches:
+            id_type = batch.column("id").type
+            yield from map(coded, pieces(batch, "text", PIECE_BYTES))
             if seen >= block_bytes:
                 yield from listed()
                 block, known, seen = block + 1, numbered(), 0
