@@ -160,18 +160,19 @@ def _encoded(parts: DataFrame, words: DataFrame, total: float, known: int, tails
     def score(rows: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
         c = np.zeros(len(listed), np.int64)
         c[listed["code"]] = listed["c"]
-        symbol = np.zeros(len(listed), np.int64)
-        symbol[listed["code"]] = np.where(listed["symbol"] < 0, head + listed["tail"], listed["symbol"])
+        symbol = np.zeros(len(listed), np.uint16)
+        symbol[listed["code"]] = listed["symbol"]
         base = np.log10((c + 0.5) / (total + 0.5 * (known + 1)))
         in_tail = symbol >= head
-        n, v = tails[np.where(in_tail, symbol - head, 0)].T
-        share = np.where(c > 0, c - 0.5, 0.5 * v + 0.5) / (n + 0.5)
-        own = np.where(in_tail, np.log10(np.where(in_tail, share, 1)), 0.0)
+        n, v = tails[symbol[in_tail] - head].T
+        own = np.zeros(len(listed))
+        own[in_tail] = np.log10(np.where(c[in_tail] > 0, c[in_tail] - 0.5, 0.5 * v + 0.5) / (n + 0.5))
+        is_known = c > 0
         out = []
         for row in rows.itertuples(index=False):
             codes = np.frombuffer(row.codes, np.int32)
             out.append(
-                (row.id, row.held_out, len(codes), int((c[codes] > 0).sum()), base[codes].sum(), own[codes].sum(), symbol[codes].astype(np.uint16).tobytes())
+                (row.id, row.held_out, len(codes), int(is_known[codes].sum()), base[codes].sum(), own[codes].sum(), symbol[codes].tobytes())
             )
         return pd.DataFrame(out, columns=schema.names).astype({"id": rows["id"].dtype})
 
@@ -263,7 +264,7 @@ def language_model_scores(
     words = (
         listed.join(counts.select("word", "c"), "word", "left")
         .join(F.broadcast(symbols), "word", "left")
-        .select(F.col("block").alias("of_block"), "code", "tail", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("symbol", F.lit(-1)).alias("symbol"))
+        .select(F.col("block").alias("of_block"), "code", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("symbol", F.col("tail") + len(head)).alias("symbol"))
     )
     encoded = written(_encoded(parts, words, float(total), known, tails, len(head)))
 
